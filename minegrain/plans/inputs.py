@@ -89,11 +89,11 @@ query_topics as (
   from lines join query_total using (user_id, query_id) group by 1, 2, 3)"""
 RUN = """spent as (select user_id, query_id, doc_id, sum(price) as amount from lines group by 1, 2, 3),
 scored as (
-  select user_id, query_id, doc_id, round(ln(amount / sum(amount) over (partition by user_id, query_id)), 9) as score
+  select user_id, query_id, doc_id, ln(amount / sum(amount) over (partition by user_id, query_id)) as score
   from spent),
 run as (
   select user_id, query_id, doc_id, score,
-         cast(row_number() over (partition by user_id, query_id order by score desc, doc_id) as integer) as rank
+         cast(row_number() over (partition by user_id, query_id order by round(score, 9) desc, doc_id) as integer) as rank
   from scored qualify rank <= 500)"""
 
 
@@ -151,9 +151,9 @@ def run(spark: SparkSession, sf: str) -> DataFrame:
     spent = order_lines(spark, sf).groupBy("user_id", "query_id", "doc_id").agg(F.sum("price").alias("amount"))
     total = spent.groupBy("user_id", "query_id").agg(F.sum("amount").alias("total"))
     scored = spent.join(total, ["user_id", "query_id"]).select(
-        "user_id", "query_id", "doc_id", F.round(F.ln(F.col("amount") / F.col("total")), 9).alias("score")
+        "user_id", "query_id", "doc_id", F.ln(F.col("amount") / F.col("total")).alias("score")
     )
-    order = W.partitionBy("user_id", "query_id").orderBy(F.desc("score"), "doc_id")
+    order = W.partitionBy("user_id", "query_id").orderBy(F.desc(F.round("score", 9)), "doc_id")
     return scored.withColumn("rank", F.row_number().over(order)).filter("rank <= 500")
 
 
