@@ -247,8 +247,10 @@ def class_weights(rows: DataFrame, weights: dict[float, float]) -> DataFrame:
     return rows.withColumn("weight", factor)
 
 
-def objective(rows: DataFrame, model: LinearModel, C: float = 1.0, p: float = 0.1, l1: bool = False) -> float:
-    """Penalty plus C times the summed loss of a two-class or regression model."""
+def objective_frame(
+    rows: DataFrame, model: LinearModel, C: float = 1.0, p: float = 0.1, l1: bool = False
+) -> DataFrame:
+    """One row: penalty plus C times the summed loss of a two-class or regression model."""
     z, y = F.col("z"), F.when(F.col("label") == (model.labels or [0.0])[0], 1.0).otherwise(-1.0)
     over = F.greatest(F.abs(F.col("label") - z) - p, F.lit(0.0))
     short = F.greatest(1.0 - y * z, F.lit(0.0))
@@ -262,7 +264,11 @@ def objective(rows: DataFrame, model: LinearModel, C: float = 1.0, p: float = 0.
     scored = rows.withColumn("z", _scores(rows, model)[0])
     w = model.weights
     penalty = np.abs(w).sum() if l1 else 0.5 * (w * w).sum()
-    return float(penalty + C * scored.agg(F.sum(term)).first()[0])
+    return scored.agg((F.lit(float(penalty)) + C * F.sum(term)).alias("objective"))
+
+
+def objective(rows: DataFrame, model: LinearModel, C: float = 1.0, p: float = 0.1, l1: bool = False) -> float:
+    return objective_frame(rows, model, C, p, l1).first()[0]
 
 
 # --- prediction --------------------------------------------------------------------------------------------------

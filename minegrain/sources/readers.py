@@ -97,11 +97,14 @@ def read_doc_topics(spark: SparkSession, path: str) -> DataFrame:
 
 
 def read_run_files(spark: SparkSession, folder: str) -> DataFrame:
-    """Six-column run files named `user-query.*` -> (user_id, query_id, doc_id, rank, score)."""
-    name = F.col("_metadata.file_name")
+    """Six-column run files named `user-query.*` -> (user_id, query_id, doc_id, rank, score).
+
+    The name may be that of the file or of a folder that holds its parts, as a partitioned write leaves them.
+    """
+    path, name = F.col("_metadata.file_path"), r"(\d+)-(\d+)\.[^/]*(/part-[^/]*)?$"
     lines = spark.read.text(folder, recursiveFileLookup=True).select(
-        F.regexp_extract(name, r"^(\d+)-(\d+)\.", 1).cast("bigint").alias("user_id"),
-        F.regexp_extract(name, r"^(\d+)-(\d+)\.", 2).cast("bigint").alias("query_id"),
+        F.regexp_extract(path, name, 1).cast("bigint").alias("user_id"),
+        F.regexp_extract(path, name, 2).cast("bigint").alias("query_id"),
         _fields().alias("f"),
     )
     return lines.select(
