@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from minegrain.runtime import broadcast_if_small
+
 # Characters and letter-digit mixes that cleaning removes, and the shape of a token.
 NOISE_PATTERN = r"[^\w\s]|[\n]|([a-z]+[0-9]+|[0-9]+[a-z]+)[a-z0-9]*"
 EDGE_SPACE_PATTERN = r"^\s+|\s+$"
@@ -27,7 +29,8 @@ def tokenize(df: DataFrame, col: str = "text", key: str = "doc_id") -> DataFrame
 
 def remove_stopwords(tokens: DataFrame, stopwords: DataFrame) -> DataFrame:
     listed = stopwords.select(F.col("word").alias("term")).distinct()
-    return tokens.filter(F.col("term") != "").join(listed, "term", "left_anti").select(tokens.columns)
+    kept = tokens.filter(F.col("term") != "")
+    return kept.join(broadcast_if_small(listed), "term", "left_anti").select(tokens.columns)
 
 
 def term_frequency(tokens: DataFrame, term: str = "term") -> DataFrame:
@@ -43,7 +46,7 @@ def document_frequency(tf: DataFrame, term: str = "term") -> DataFrame:
 
 
 def _top_terms(stats: DataFrame, value: str, n: int, term: str) -> DataFrame:
-    """The n terms of largest value as one row list, numbered from 0 in that order (n bounds the driver-free sort)."""
+    """The n terms of largest value, numbered from 0 in that order; n bounds the one row that holds them for numbering."""
     top = stats.orderBy(F.desc(value), term).limit(n)
     ordered = top.agg(F.array_sort(F.collect_list(F.struct((-F.col(value)).alias("v"), F.col(term).alias("t")))).alias("a"))
     return ordered.select(F.posexplode("a").alias("new_id", "entry")).select(F.col("entry.t").alias(term), "new_id")
@@ -58,24 +61,24 @@ def topn_terms_df(tf: DataFrame, n: int = 2000, term: str = "term") -> DataFrame
 
 
 def project_dictionary(tf: DataFrame, dictionary: DataFrame, term: str = "term") -> DataFrame:
-    """Keep the dictionary's terms under their new ids; the dictionary holds n rows by construction."""
-    return tf.join(dictionary, term).select("doc_id", F.col("new_id").alias("term_id"), "tf")
+    """Keep the dictionary's terms under their new ids."""
+    return tf.join(broadcast_if_small(dictionary), term).select("doc_id", F.col("new_id").alias("term_id"), "tf")
 
 
 def remap_vocabulary(tf_test: DataFrame, vocab_test: DataFrame, vocab_train: DataFrame) -> DataFrame:
     """Test term ids become train term ids through the word; unknown words are dropped."""
     ids = vocab_test.withColumnRenamed("term_id", "test_id").join(vocab_train, "term").select("test_id", "term_id")
-    return tf_test.withColumnRenamed("term_id", "test_id").join(ids, "test_id").select("doc_id", "term_id", "tf")
+    return tf_test.withColumnRenamed("term_id", "test_id").join(broadcast_if_small(ids), "test_id").select("doc_id", "term_id", "tf")
 
 
 def idf_floor(df: DataFrame, n_docs: int, floor: bool = True, term: str = "term") -> DataFrame:
-    """ln(N div df), or ln(N / df) with floor=False; terms with df > N get ln of 0 as 0 weight in neither form."""
+    """ln(N div df), or ln(N / df) with floor=False. df must not exceed N: the floored ratio would be 0."""
     ratio = F.expr(f"{int(n_docs)}L div df") if floor else F.lit(float(n_docs)) / F.col("df")
     return df.select(term, F.ln(ratio.cast("double")).alias("idf"))
 
 
 def weight_by_idf(tf: DataFrame, idf: DataFrame, term: str = "term") -> DataFrame:
-    return tf.join(idf, term).select("doc_id", term, (F.col("tf") * F.col("idf")).alias("weight"))
+    return tf.join(broadcast_if_small(idf), term).select("doc_id", term, (F.col("tf") * F.col("idf")).alias("weight"))
 
 
 def tfidf(tf: DataFrame, df: DataFrame, n_docs: int, floor: bool = True, term: str = "term") -> DataFrame:

@@ -17,16 +17,19 @@ from pyspark.sql import functions as F
 
 from minegrain.runtime import cut_lineage
 
-BLOCK_ROWS = 512
+BLOCK_ROWS = (512, 4096)
 TILE_CELLS = 500_000
 _CHUNK_PRODUCTS = 4_000_000
 _TINY = 1e-12
 
 
-def _place(m: DataFrame, block_rows: int, tile_cells: int) -> tuple[DataFrame, int, bool]:
+def _place(m: DataFrame, block_rows: int | None, tile_cells: int) -> tuple[DataFrame, int, bool]:
     """Cells with their block, stripe and the block's stripe count (a power of two); the block count; any stripes?"""
     m = cut_lineage(m)
-    blocks = max(1, -(-m.select("row").distinct().count() // block_rows))
+    n_rows = m.select("row").distinct().count()
+    if block_rows is None:  # small blocks for parallelism, large ones so that tiles are sent to fewer partners
+        block_rows = min(max(n_rows // 64, BLOCK_ROWS[0]), BLOCK_ROWS[1])
+    blocks = max(1, -(-n_rows // block_rows))
     cells = m.withColumn("block", F.pmod(F.xxhash64("row"), F.lit(blocks)).cast("int"))
     load = cells.groupBy("block").agg(F.count(F.lit(1)).alias("n"))
     power = F.greatest(F.lit(0.0), F.ceil(F.log2(F.col("n") / float(tile_cells))).cast("double"))
@@ -101,7 +104,7 @@ def _product_batches(symmetric: bool):
 def tiled_product(
     left: DataFrame,
     right: DataFrame | None = None,
-    block_rows: int = BLOCK_ROWS,
+    block_rows: int | None = None,
     tile_cells: int = TILE_CELLS,
 ) -> DataFrame:
     """(left, right, value): sums over `inner` of left.value * right.value for frames (row, inner, value).

@@ -11,6 +11,7 @@ from minegrain.operators import text as tx
 from minegrain.plans import inputs as inp
 from minegrain.plans.inputs import CELLS, DICTIONARY, r6, tokens_sql
 from minegrain.plans.registry import query
+from minegrain.runtime import cut_lineage
 
 K = 8
 VECTORS = CELLS + """,
@@ -119,7 +120,7 @@ def init_kmeanspp(spark, sf):
 
 def text_vectors(spark, sf):
     """Documents over the dictionary of the most frequent terms: (tf, vocabulary)."""
-    tf = inp.tf(spark, sf)
+    tf = cut_lineage(inp.tf(spark, sf))
     dictionary = tx.topn_terms_ctf(tf, inp.DICTIONARY_SIZE)
     return tx.project_dictionary(tf, dictionary), dictionary.select("term", F.col("new_id").alias("term_id"))
 

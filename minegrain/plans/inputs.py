@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
+from minegrain.functions.ordering import with_row_index
 from minegrain.operators import text as tx
 
 
@@ -98,11 +99,11 @@ run as (
 
 
 def edges(spark: SparkSession, sf: str) -> DataFrame:
-    order = W.partitionBy("l_orderkey").orderBy("l_linenumber", "l_partkey")
-    hops = table(spark, sf, "lineitem").select(
-        F.col("l_partkey").alias("src"), F.lead("l_partkey").over(order).alias("dst")
-    )
-    hops = hops.filter(F.col("dst").isNotNull() & (F.col("src") != F.col("dst")))
+    """Links between consecutive parts of an order; positions of a global sort, so that a huge order is not one task."""
+    lines = table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", F.col("l_partkey").alias("src"))
+    placed = with_row_index(lines, ["l_orderkey", "l_linenumber", "src"], "at").drop("l_linenumber")
+    after = placed.select("l_orderkey", (F.col("at") - 1).alias("at"), F.col("src").alias("dst"))
+    hops = placed.join(after, ["at", "l_orderkey"]).filter("src <> dst")
     return hops.groupBy("src", "dst").agg(F.count(F.lit(1)).cast("double").alias("weight"))
 
 

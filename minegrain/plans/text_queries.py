@@ -9,6 +9,7 @@ from minegrain.operators import text as tx
 from minegrain.plans import inputs as inp
 from minegrain.plans.inputs import DICTIONARY, STATS, TF, TOKENS, clean_sql, r6, tokens_sql
 from minegrain.plans.registry import query
+from minegrain.runtime import cut_lineage
 
 
 @query("clean_text", f"select doc_id, {clean_sql()} as text from documents")
@@ -64,14 +65,14 @@ def idf_floor(spark, sf):
     f"with {STATS} select doc_id, term, {r6('tf * ln(cast(n as double) / df)')} as weight from tf join df using (term), n_docs",
 )
 def weight_by_idf(spark, sf):
-    tf = inp.tf(spark, sf)
+    tf = cut_lineage(inp.tf(spark, sf))
     idf = tx.idf_floor(tx.document_frequency(tf), _n_docs(spark, sf), floor=False)
     return tx.weight_by_idf(tf, idf).select("doc_id", "term", rounded("weight").alias("weight"))
 
 
 @query("tfidf", f"with {STATS} select doc_id, term, {r6('tf * ln(n // df)')} as weight from tf join df using (term), n_docs")
 def tfidf(spark, sf):
-    tf = inp.tf(spark, sf)
+    tf = cut_lineage(inp.tf(spark, sf))
     weights = tx.tfidf(tf, tx.document_frequency(tf), _n_docs(spark, sf))
     return weights.select("doc_id", "term", rounded("weight").alias("weight"))
 
@@ -84,7 +85,7 @@ def tfidf(spark, sf):
     select doc_id, term, {r6('w / norm')} as weight from raw join norms using (doc_id)""",
 )
 def tfidf_smooth_l2(spark, sf):
-    weights = tx.tfidf_smooth_l2(inp.tf(spark, sf), _n_docs(spark, sf))
+    weights = tx.tfidf_smooth_l2(cut_lineage(inp.tf(spark, sf)), _n_docs(spark, sf))
     return weights.select("doc_id", "term", rounded("weight").alias("weight"))
 
 
@@ -111,7 +112,7 @@ def topn_terms_df(spark, sf):
     f"with {DICTIONARY} select doc_id, new_id as term_id, tf from tf join dictionary using (term)",
 )
 def project_dictionary(spark, sf):
-    tf = inp.tf(spark, sf)
+    tf = cut_lineage(inp.tf(spark, sf))
     return tx.project_dictionary(tf, tx.topn_terms_ctf(tf, inp.DICTIONARY_SIZE))
 
 

@@ -6,9 +6,12 @@ import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 # Largest model state (cells of a weight or centroid matrix) that may live on the driver.
 MAX_DRIVER_CELLS = 20_000_000
+# Most rows of a narrow table that are sent to every executor.
+BROADCAST_ROWS = 1_000_000
 
 
 def local_session(cores: str = "8", app: str = "minegrain", **conf: str) -> SparkSession:
@@ -55,6 +58,15 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def broadcast_if_small(df: DataFrame, limit: int = BROADCAST_ROWS) -> DataFrame:
+    """`df` materialised and counted: marked for broadcast up to `limit` rows, else left to a shuffle join.
+
+    The counted side must be narrow (a key and a number or two). Beyond the limit, adaptive skew handling splits hot keys.
+    """
+    stored = cut_lineage(df)
+    return F.broadcast(stored) if stored.count() <= limit else stored
+
+
 def check_driver_cells(cells: int, what: str) -> None:
     if cells > MAX_DRIVER_CELLS:
         raise ValueError(f"{what} has {cells} cells, more than the driver limit of {MAX_DRIVER_CELLS}")

@@ -7,6 +7,8 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from minegrain.runtime import broadcast_if_small
+
 REVIEW_SCHEMA = T.StructType(
     [
         T.StructField("review_id", T.StringType()),
@@ -19,8 +21,8 @@ REVIEW_SCHEMA = T.StructType(
 def read_lines(spark: SparkSession, path: str) -> DataFrame:
     """(line_no, value): 0-based number of each line over the files of `path` in name order.
 
-    Lines are counted per file split, the splits get running offsets, and both are joined back; the text itself is
-    never sorted or shuffled.
+    Lines are counted per file split, the splits get running offsets, and these are sent back to the lines; the text
+    itself is neither sorted nor, with fewer splits than the broadcast limit, shuffled.
     """
     lines = spark.read.text(path).select(
         "value",
@@ -35,7 +37,7 @@ def read_lines(spark: SparkSession, path: str) -> DataFrame:
     starts = splits.select(
         "__file", "__block", "__first", F.coalesce(F.sum("__n").over(before), F.lit(0)).alias("__start")
     )
-    return lines.join(starts, ["__file", "__block"]).select(
+    return lines.join(broadcast_if_small(starts), ["__file", "__block"]).select(
         (F.col("__start") + F.col("__mid") - F.col("__first")).alias("line_no"), "value"
     )
 
