@@ -12,6 +12,8 @@ from minegrain.operators.tiles import tiled_product
 from minegrain.runtime import cut_lineage
 
 NEUTRAL = 3.0
+# Similarities that agree to this many digits are ties (the lower id wins), and those that round to 0 are 0.
+TIE_DIGITS = 9
 
 
 def center_ratings(ratings: DataFrame, offset: float = NEUTRAL) -> DataFrame:
@@ -79,12 +81,13 @@ def topk_neighbours(sim: DataFrame, n_items: int, k: int) -> DataFrame:
             )
         ).alias("p"),
         F.col("sim"),
-        F.signum(F.col("sim")).cast("int").alias("sign"),
-    ).select("p.row", "p.neighbour", "sim", "sign")
+        F.round("sim", TIE_DIGITS).alias("level"),
+    )
+    both = both.filter("level <> 0").select("p.row", "p.neighbour", "sim", "level", F.signum("level").cast("int").alias("sign"))
     counts = both.groupBy("row").agg(
         F.count_if(F.col("sign") > 0).alias("n_pos"), F.count_if(F.col("sign") < 0).alias("n_neg")
     )
-    order = W.partitionBy("row", "sign").orderBy(F.desc("sim"), "neighbour")
+    order = W.partitionBy("row", "sign").orderBy(F.desc("level"), "neighbour")
     ranked = both.withColumn("r", F.row_number().over(order)).filter(F.col("r") <= k)
     skipped = F.when(F.col("sign") > 0, F.lit(0)).otherwise(F.lit(n_items - 1) - F.col("n_neg"))
     return (

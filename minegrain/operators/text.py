@@ -65,6 +65,22 @@ def project_dictionary(tf: DataFrame, dictionary: DataFrame, term: str = "term")
     return tf.join(broadcast_if_small(dictionary), term).select("doc_id", F.col("new_id").alias("term_id"), "tf")
 
 
+def feature_rows(tf: DataFrame, labels: DataFrame) -> DataFrame:
+    """(row_id, label, indices, values) for linear models: 1-based ascending term ids, one row per labelled document.
+
+    A document without terms is a row without features; a row is bounded by the dictionary.
+    """
+    cells = tf.groupBy("doc_id").agg(
+        F.array_sort(F.collect_list(F.struct((F.col("term_id") + 1).alias("i"), F.col("tf").cast("double").alias("v")))).alias("c")
+    )
+    return labels.join(cells, "doc_id", "left").select(
+        F.col("doc_id").alias("row_id"),
+        "label",
+        F.coalesce("c.i", F.array().cast("array<int>")).alias("indices"),
+        F.coalesce("c.v", F.array().cast("array<double>")).alias("values"),
+    )
+
+
 def remap_vocabulary(tf_test: DataFrame, vocab_test: DataFrame, vocab_train: DataFrame) -> DataFrame:
     """Test term ids become train term ids through the word; unknown words are dropped."""
     ids = vocab_test.withColumnRenamed("term_id", "test_id").join(vocab_train, "term").select("test_id", "term_id")

@@ -194,14 +194,8 @@ def read_dense_matrix(spark, sf):
 def _sparse_rows(spark, sf):
     """Documents with 1-based dictionary features; label 1 for English texts, else -1."""
     tf, _ = text_vectors(spark, sf)
-    cells = tf.groupBy("doc_id").agg(F.array_sort(F.collect_list(F.struct("term_id", "tf"))).alias("v"))
-    label = F.when(F.col("label") == "en", 1).otherwise(-1)
-    return inp.lang_gold(spark, sf).join(cells, "doc_id", "left").select(
-        F.col("doc_id").alias("row_id"),
-        label.alias("label"),
-        F.coalesce(F.transform("v", lambda c: c["term_id"] + 1), F.array().cast("array<int>")).alias("indices"),
-        F.coalesce(F.transform("v", lambda c: c["tf"].cast("double")), F.array().cast("array<double>")).alias("values"),
-    )
+    english = F.when(F.col("label") == "en", 1).otherwise(-1)
+    return tx.feature_rows(tf, inp.lang_gold(spark, sf).withColumn("label", english))
 
 
 LIBSVM = f"""with {DICTIONARY}, nth as (

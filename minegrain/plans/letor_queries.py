@@ -69,6 +69,12 @@ def rank_svm(spark, sf):
 
 @query("rank_logistic")
 def rank_logistic(spark, sf):
+    """One epoch of four batches."""
     users, items = given_factors(spark, sf)
-    scored = lt.rank_logistic(inp.train(spark, sf), inp.pairs(spark, sf), users, items, batch=20_000, epochs=1)
+    train = cut_lineage(inp.train(spark, sf))
+    sides = lt.filter_extreme_ratings(train).groupBy("user_id").agg(
+        F.count_if(F.col("rating") > 3).alias("high"), F.count_if(F.col("rating") < 3).alias("low")
+    )
+    preferences = sides.agg(F.sum(F.col("high") * F.col("low"))).first()[0]
+    scored = lt.rank_logistic(train, inp.pairs(spark, sf), users, items, batch=preferences // 4, epochs=1)
     return scored.withColumn("score", rounded("score", 5))

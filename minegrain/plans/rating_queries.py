@@ -143,7 +143,6 @@ USER_TOP, ITEM_TOP = _neighbours(20, "user_id"), _neighbours(20, "item_id")
 
 
 def _top(sim, train, ids, k=20):
-    sim = sim.withColumn("sim", F.round("sim", 9)).filter("sim <> 0")
     return nb.topk_neighbours(sim, train.select(ids).distinct().count(), k)
 
 

@@ -218,6 +218,23 @@ def test_binary_sga_single_rows(spark, data):
     np.testing.assert_allclose(model.weights[0], w)
 
 
+def test_texts_by_language(spark, sf):
+    """Words of the dictionary tell languages apart, for the softmax and for the squared hinge."""
+    from minegrain.operators import text as tx
+    from minegrain.plans import inputs as inp
+    from minegrain.runtime import cut_lineage
+
+    tf = cut_lineage(inp.tf(spark, sf))
+    tf = tx.project_dictionary(tf, tx.topn_terms_df(tf, 200))
+    labels = inp.lang_gold(spark, sf).withColumn("label", (F.col("label") == "en").cast("double"))
+    docs = cut_lineage(tx.feature_rows(tf, labels))
+    svm = ln.linear_l2_squared_hinge(docs, C=0.002, bias=1.0)
+    hits = ln.predict_label(docs, svm).agg(F.avg((F.col("pred") == F.col("label")).cast("double"))).first()[0]
+    assert svm.n_features == 200 and hits > 0.9
+    soft = sga.predict_hard_soft(docs, sga.softmax_sga(docs, L=1.0, batch=100, eta0=0.0005, epochs=2))
+    assert soft.agg(F.avg((F.col("hard") == F.col("label")).cast("double"))).first()[0] > 0.8
+
+
 def test_splits(two):
     train, held = sm.holdout_split(two, 0.3, seed=2)
     ids = {r.row_id for r in train.collect()}
