@@ -33,5 +33,5 @@ def seeded_uniform(seed: int, *keys: Column | str) -> Column:
 
 
 def rounded(value: Column | str, digits: int = 6) -> Column:
-    """Rounded value without a negative zero."""
-    return F.round(value, digits) + F.lit(0.0)
+    """Rounded value without a negative zero; a first rounding further out keeps float noise from deciding half-way cases."""
+    return F.round(F.round(value, digits + 4), digits) + F.lit(0.0)

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from minegrain.operators.evaluate import rmse
 from minegrain.operators.matrix import normalize_l2
-from minegrain.operators.tiles import tiled_product
+from minegrain.operators.tiles import tiled_best, tiled_product
 from minegrain.runtime import cut_lineage
 
 NEUTRAL = 3.0
@@ -26,10 +26,14 @@ def user_mean_centering(ratings: DataFrame) -> DataFrame:
     return ratings.join(means, "user_id").withColumn("rating", F.col("rating") - F.col("__mean")).drop("__mean")
 
 
-def _gram(centred: DataFrame, row: str, inner: str, cosine: bool) -> DataFrame:
+def _cells(centred: DataFrame, row: str, inner: str, cosine: bool) -> DataFrame:
     cells = centred.select(F.col(row).alias("row"), F.col(inner).alias("inner"), F.col("rating").alias("value"))
     cells = cells.filter("value <> 0")
-    return tiled_product(normalize_l2(cells) if cosine else cells)
+    return normalize_l2(cells) if cosine else cells
+
+
+def _gram(centred: DataFrame, row: str, inner: str, cosine: bool) -> DataFrame:
+    return tiled_product(_cells(centred, row, inner, cosine))
 
 
 def _user_pairs(ratings: DataFrame, cosine: bool) -> DataFrame:
@@ -69,26 +73,30 @@ def topk_neighbours(sim: DataFrame, n_items: int, k: int) -> DataFrame:
 
     Pairs that are not listed have similarity 0 and outrank negative ones without adding anything: the r-th best
     negative stays only if positives + zeros + r <= k. `place` is the position in that order, so a smaller k is the
-    filter place <= k. Ranking within a sign lets Spark drop rows beyond k before the shuffle.
+    filter place <= k.
     """
-    k = min(k, n_items - 1)
     a, b = sim.columns[:2]
-    both = sim.select(
+    both = cut_lineage(sim).select(
         F.explode(
             F.array(
                 F.struct(F.col(a).alias("row"), F.col(b).alias("neighbour")),
                 F.struct(F.col(b).alias("row"), F.col(a).alias("neighbour")),
             )
         ).alias("p"),
-        F.col("sim"),
-        F.round("sim", TIE_DIGITS).alias("level"),
-    )
-    both = both.filter("level <> 0").select("p.row", "p.neighbour", "sim", "level", F.signum("level").cast("int").alias("sign"))
-    counts = both.groupBy("row").agg(
-        F.count_if(F.col("sign") > 0).alias("n_pos"), F.count_if(F.col("sign") < 0).alias("n_neg")
+        "sim",
     )
-    order = W.partitionBy("row", "sign").orderBy(F.desc("level"), "neighbour")
-    ranked = both.withColumn("r", F.row_number().over(order)).filter(F.col("r") <= k)
+    both = both.select("p.row", "p.neighbour", "sim").filter(F.round("sim", TIE_DIGITS) != 0)
+    counts = both.groupBy("row").agg(F.count_if(F.col("sim") > 0).alias("n_pos"), F.count_if(F.col("sim") < 0).alias("n_neg"))
+    return _placed(both, counts, n_items, k)
+
+
+def _placed(pairs: DataFrame, counts: DataFrame, n_items: int, k: int) -> DataFrame:
+    """Rank within row and sign, where Spark drops rows beyond k before the shuffle, then the place among all."""
+    k = min(k, n_items - 1)
+    level = F.round("sim", TIE_DIGITS)
+    order = W.partitionBy("row", "sign").orderBy(F.desc(level), "neighbour")
+    signed = pairs.withColumn("sign", F.signum("sim").cast("int"))
+    ranked = signed.withColumn("r", F.row_number().over(order)).filter(F.col("r") <= k)
     skipped = F.when(F.col("sign") > 0, F.lit(0)).otherwise(F.lit(n_items - 1) - F.col("n_neg"))
     return (
         ranked.join(counts, "row")
@@ -98,6 +106,23 @@ def topk_neighbours(sim: DataFrame, n_items: int, k: int) -> DataFrame:
     )
 
 
+def nearest_neighbours(ratings: DataFrame, k: int, by: str = "item", kind: str = "cosine") -> DataFrame:
+    """`topk_neighbours` of a similarity without ever listing all similar pairs: tiles hand over their k best per row.
+
+    by: 'user' or 'item'; kind: 'cosine', 'dot', or 'pcc' for items over ratings centred on each user's mean.
+    """
+    row, inner = ("user_id", "item_id") if by == "user" else ("item_id", "user_id")
+    centred = user_mean_centering(ratings) if kind == "pcc" else center_ratings(ratings)
+    n = ratings.select(row).distinct().count()
+    found = tiled_best(_cells(centred, row, inner, kind != "dot"), min(k, n - 1), TIE_DIGITS)
+    if found is None:
+        pairs = _gram(centred, row, inner, kind != "dot").withColumnRenamed("value", "sim")
+        return topk_neighbours(pairs, n, k)
+    found = cut_lineage(found)
+    counts = found.filter("counted").groupBy("row").agg(F.sum("n_pos").alias("n_pos"), F.sum("n_neg").alias("n_neg"))
+    return _placed(found.filter("not counted").select("row", "neighbour", "sim"), counts, n, k)
+
+
 def _shares(neighbours: DataFrame, weighted: bool) -> DataFrame:
     """(row, neighbour, w): each row's weights scaled to absolute sum 1."""
     w = F.col("sim") if weighted else F.lit(1.0)
@@ -140,17 +165,16 @@ def knn_sweep(train: DataFrame, pairs: DataFrame, gold: DataFrame, ks: tuple[int
     of one similarity share the neighbour table in the shared folder.
     """
     train, pairs = cut_lineage(train), cut_lineage(pairs)
-    sizes = train.agg(F.count_distinct("user_id"), F.count_distinct("item_id")).first()
     variants = [
-        (True, False, True, user_similarity_cosine),
-        (True, False, False, user_similarity_dot),
-        (False, False, True, item_similarity_cosine),
-        (False, False, False, item_similarity_dot),
-        (False, True, True, item_similarity_pcc),
+        (True, False, True, "cosine"),
+        (True, False, False, "dot"),
+        (False, False, True, "cosine"),
+        (False, False, False, "dot"),
+        (False, True, True, "pcc"),
     ]
     results = None
-    for memory, pcc, cosine, similarity in variants:
-        ranked = cut_lineage(topk_neighbours(similarity(train), sizes[0 if memory else 1], max(ks)))
+    for memory, pcc, cosine, kind in variants:
+        ranked = cut_lineage(nearest_neighbours(train, max(ks), "user" if memory else "item", kind))
         predict = knn_predict_user if memory else knn_predict_item
         for weighted in (True, False):
             for k in ks:

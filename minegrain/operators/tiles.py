@@ -101,6 +101,58 @@ def _product_batches(symmetric: bool):
     return run
 
 
+def _best_batches(k: int, digits: int):
+    """From a symmetric tile pair: per row its k best positive and k best negative partners, and how many there were.
+
+    A pair of rows meets in one tile pair only, so the best k of a row are among the best k of its tile pairs.
+    """
+    products = _product_batches(True)
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for cells in products(batches):
+            row = np.concatenate([cells["left"], cells["right"]])
+            partner = np.concatenate([cells["right"], cells["left"]])
+            value = np.tile(cells["value"].to_numpy(), 2)
+            level = np.round(value, digits)
+            keep = level != 0
+            row, partner, value, level = row[keep], partner[keep], value[keep], level[keep]
+            order = np.lexsort((partner, -level, level < 0, row))
+            row, partner, value, negative = row[order], partner[order], value[order], (level < 0)[order]
+            fresh = np.ones(len(row), dtype=bool)
+            fresh[1:] = (row[1:] != row[:-1]) | (negative[1:] != negative[:-1])
+            start = np.maximum.accumulate(np.where(fresh, np.arange(len(row)), 0))
+            best = np.arange(len(row)) - start < k
+            ids, at = np.unique(row, return_inverse=True)
+            n_neg = np.bincount(at, weights=negative, minlength=len(ids))
+            total = np.bincount(at, minlength=len(ids))
+            n = int(best.sum())
+            yield pd.DataFrame(
+                {
+                    "row": np.concatenate([row[best], ids]),
+                    "neighbour": pd.array(np.concatenate([partner[best], np.full(len(ids), -1)]), dtype="int64"),
+                    "sim": np.concatenate([value[best], np.zeros(len(ids))]),
+                    "counted": np.concatenate([np.zeros(n, dtype=bool), np.ones(len(ids), dtype=bool)]),
+                    "n_pos": np.concatenate([np.zeros(n), total - n_neg]).astype(np.int64),
+                    "n_neg": np.concatenate([np.zeros(n), n_neg]).astype(np.int64),
+                }
+            )
+
+    return run
+
+
+def tiled_best(m: DataFrame, k: int, digits: int, block_rows: int | None = None) -> DataFrame | None:
+    """Candidates for the k nearest rows of a matrix (row, inner, value) by dot product, in one pass over its tiles.
+
+    Rows (row, neighbour, sim) with counted = false, and rows with counted = true that carry the numbers n_pos, n_neg of
+    partners by sign. None when a hot row forces stripes, where a pair's sum is spread over several tile pairs.
+    """
+    work, striped = _tile_pairs(m, None, block_rows, TILE_CELLS)
+    if striped:
+        return None
+    schema = "row bigint, neighbour bigint, sim double, counted boolean, n_pos bigint, n_neg bigint"
+    return work.mapInPandas(_best_batches(k, digits), schema)
+
+
 def tiled_product(
     left: DataFrame,
     right: DataFrame | None = None,
@@ -112,6 +164,17 @@ def tiled_product(
     Without a right side: the product of the matrix with its own transpose, each unordered pair of distinct rows once
     (left < right).
     """
+    work, striped = _tile_pairs(left, right, block_rows, tile_cells)
+    cells = work.mapInPandas(_product_batches(right is None), "left bigint, right bigint, value double")
+    if striped:  # otherwise each pair of rows comes from one tile pair and its sum is final
+        cells = cells.groupBy("left", "right").agg(F.sum("value").alias("value"))
+    return cells.filter(F.abs("value") > _TINY)
+
+
+def _tile_pairs(
+    left: DataFrame, right: DataFrame | None, block_rows: int | None, tile_cells: int
+) -> tuple[DataFrame, bool]:
+    """One row per pair of tiles that can share inner keys, with both tiles' arrays; and whether blocks are striped."""
     symmetric = right is None
     cast = [F.col("row").cast("bigint"), F.col("inner").cast("bigint"), F.col("value").cast("double")]
     placed_l, blocks, striped = _place(left.select(*cast), block_rows, tile_cells)
@@ -142,7 +205,4 @@ def tiled_product(
     work = sent.join(tiles_right, ["block_r", "stripe_r"]).select(
         "block", "block_r", "rows", "inners", "vals", "rows_r", "inners_r", "vals_r"
     )
-    cells = work.mapInPandas(_product_batches(symmetric), "left bigint, right bigint, value double")
-    if striped:  # otherwise each pair of rows comes from one tile pair and its sum is final
-        cells = cells.groupBy("left", "right").agg(F.sum("value").alias("value"))
-    return cells.filter(F.abs("value") > _TINY)
+    return work, striped

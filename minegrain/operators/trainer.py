@@ -116,8 +116,6 @@ class Problem:
     bias: float = -1.0
     p: float = 0.1
     l1: bool = False
-    # Two-class problems know the second label; None separates from all other labels.
-    columns: list[str] = field(default_factory=list)
 
     @property
     def width(self) -> int:

@@ -109,7 +109,8 @@ def cluster_macro_f1(spark, sf):
 
 @query("init_random_centroids")
 def init_random_centroids(spark, sf):
-    vocab = vectors(spark, sf).select("term_id").distinct()
+    """Over all terms of the documents, a hash of the term being its id."""
+    vocab = inp.tokens(spark, sf).select(F.xxhash64("term").alias("term_id")).distinct()
     return cl.init_random_centroids(vocab, K, seed=3)
 
 

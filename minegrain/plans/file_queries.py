@@ -85,7 +85,7 @@ def read_edges(spark, sf):
 
 @query("read_topic_distributions", f"with {DOC_TOPICS}, {USER_TOPICS} select user_id, query_id, topic, {r6('prob')} as prob from query_topics")
 def read_topic_distributions(spark, sf):
-    items = inp.query_topics(spark, sf).groupBy("user_id", "query_id").agg(
+    items = inp.query_topics(inp.order_lines(spark, sf)).groupBy("user_id", "query_id").agg(
         F.array_join(F.collect_list(_joined("topic", "prob", sep=":")), " ").alias("items")
     )
     read = rd.read_topic_distributions(spark, _written(spark, items, _joined("user_id", "query_id", "items")))

@@ -8,6 +8,7 @@ from pyspark.sql import Window as W
 
 from minegrain.functions.ordering import with_row_index
 from minegrain.operators import text as tx
+from minegrain.runtime import cut_lineage
 
 
 def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
@@ -120,17 +121,17 @@ def doc_topics(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def order_lines(spark: SparkSession, sf: str) -> DataFrame:
+    """(user_id, query_id, doc_id, topic, price), materialised: runs and topic shares are all made from it."""
     lines = table(spark, sf, "lineitem").select("l_orderkey", F.col("l_partkey").alias("doc_id"), F.col("l_extendedprice").alias("price"))
     orders = table(spark, sf, "orders").select(
         F.col("o_orderkey").alias("l_orderkey"),
         F.col("o_custkey").alias("user_id"),
         F.substring("o_orderpriority", 1, 1).cast("bigint").alias("query_id"),
     )
-    return lines.join(orders, "l_orderkey").join(doc_topics(spark, sf), "doc_id").drop("l_orderkey")
+    return cut_lineage(lines.join(orders, "l_orderkey").join(doc_topics(spark, sf), "doc_id").drop("l_orderkey"))
 
 
-def user_topics(spark: SparkSession, sf: str) -> DataFrame:
-    lines = order_lines(spark, sf)
+def user_topics(lines: DataFrame) -> DataFrame:
     share = lines.groupBy("user_id", "topic").agg(F.count(F.lit(1)).alias("n"))
     total = lines.groupBy("user_id").agg(F.count(F.lit(1)).alias("total"))
     asked = lines.select("user_id", "query_id").distinct()
@@ -139,8 +140,7 @@ def user_topics(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
-def query_topics(spark: SparkSession, sf: str) -> DataFrame:
-    lines = order_lines(spark, sf)
+def query_topics(lines: DataFrame) -> DataFrame:
     share = lines.groupBy("user_id", "query_id", "topic").agg(F.count(F.lit(1)).alias("n"))
     total = lines.groupBy("user_id", "query_id").agg(F.count(F.lit(1)).alias("total"))
     return share.join(total, ["user_id", "query_id"]).select(
@@ -148,8 +148,8 @@ def query_topics(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
-def run(spark: SparkSession, sf: str) -> DataFrame:
-    spent = order_lines(spark, sf).groupBy("user_id", "query_id", "doc_id").agg(F.sum("price").alias("amount"))
+def run(lines: DataFrame) -> DataFrame:
+    spent = lines.groupBy("user_id", "query_id", "doc_id").agg(F.sum("price").alias("amount"))
     total = spent.groupBy("user_id", "query_id").agg(F.sum("amount").alias("total"))
     scored = spent.join(total, ["user_id", "query_id"]).select(
         "user_id", "query_id", "doc_id", F.ln(F.col("amount") / F.col("total")).alias("score")
@@ -251,4 +251,4 @@ REVIEWS = """reviews as (select cast(doc_id as varchar) as review_id, text, cast
 
 
 def r6(expr: str, digits: int = 6) -> str:
-    return f"round({expr}, {digits}) + 0.0"
+    return f"round(round({expr}, {digits + 4}), {digits}) + 0.0"

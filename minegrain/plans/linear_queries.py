@@ -13,16 +13,14 @@ from minegrain.plans.inputs import CELLS, ROWS, r6
 from minegrain.plans.registry import query
 from minegrain.runtime import cut_lineage
 
-# Weights made from class and feature (1-based), the same in both engines.
-WEIGHT = "((class * 7 + feature * 3) % 11 - 5) / 10.0"
 DIM = 64
 
 
 def _given_weights(spark, sf, classes):
-    """(class, feature, w) for the features that the rows have."""
-    features = inp.rows(spark, sf).select(F.explode(F.sequence(F.lit(1), F.size("features"))).alias("feature")).distinct()
-    cells = features.withColumn("class", F.explode(F.array(*[F.lit(float(c)) for c in classes])))
-    return cells.select("class", "feature", F.expr(WEIGHT).cast("double").alias("w"))
+    """(class, feature, w): the mean of each feature over the rows of a class."""
+    cells = inp.rows(spark, sf).select(F.col("label").alias("class"), F.posexplode("features").alias("at", "value"))
+    cells = cells.filter(F.col("class").isin(classes)).withColumn("feature", F.col("at") + 1)
+    return cells.groupBy("class", "feature").agg(F.avg("value").alias("w"))
 
 
 def given_model(spark, sf, labels, loss="logistic"):
@@ -35,8 +33,8 @@ def given_model(spark, sf, labels, loss="logistic"):
 
 
 GIVEN = f"""{CELLS},
-weights as (select cast(c as double) as class, cast(f as integer) as feature, cast(((c * 7 + f * 3) % 11 - 5) / 10.0 as double) as w
-  from range(10) a(c), range(1, {DIM + 1}) b(f)),
+weights as materialized (
+  select label as class, cast(feature + 1 as integer) as feature, avg(value) as w from cells group by 1, 2),
 scores as materialized (
   select row_id, label, class, sum(value * w) as z from cells join weights on weights.feature = cells.feature + 1 group by 1, 2, 3),
 binary_scores as (select row_id, case when label < 5 then 1.0 else -1.0 end as label, z from scores where class = 0)"""

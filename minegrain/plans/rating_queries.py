@@ -124,14 +124,14 @@ for _name, (_side, _operator, _text) in _SIMILARITIES.items():
 
 
 # --- neighbours and predictions ----------------------------------------------------------------------------------
-# Similarities are rounded before ranking, so that ties fall the same way in both engines.
+# Neighbours are ranked by the similarity to 9 digits, so that ties fall the same way in both engines.
 
 def _neighbours(k: int, ids: str) -> str:
-    return f"""rs as (select a, b, round(sim, 9) as sim from sim where round(sim, 9) <> 0),
-    both_ways as (select a as row, b as neighbour, sim from rs union all select b, a, sim from rs),
+    return f"""rs as (select a, b, sim, round(sim, 9) as level from sim where round(sim, 9) <> 0),
+    both_ways as (select a as row, b as neighbour, sim, level from rs union all select b, a, sim, level from rs),
     n_ids as (select count(distinct {ids}) as n from train),
     signed as (
-      select *, row_number() over (partition by row, sim > 0 order by sim desc, neighbour) as r,
+      select *, row_number() over (partition by row, sim > 0 order by level desc, neighbour) as r,
              sum(case when sim < 0 then 1 else 0 end) over (partition by row) as n_neg from both_ways),
     placed as (select row, neighbour, sim, cast(case when sim > 0 then r else n - 1 - n_neg + r end as integer) as place
                from signed, n_ids),
@@ -156,7 +156,8 @@ def _train(spark, sf):
 )
 def topk_neighbours(spark, sf):
     train = _train(spark, sf)
-    return _top(nb.item_similarity_cosine(train), train, "item_id").withColumn("sim", rounded("sim"))
+    top = _top(nb.item_similarity_cosine(train), train, "item_id")
+    return top.withColumn("sim", rounded("sim"))
 
 
 def _pred(key: str, other: str, weighted: bool) -> str:
@@ -174,13 +175,13 @@ ITEM_PRED = f"{TRAIN}, {ITEM_SIM}, {ITEM_TOP}, {_pred('item_id', 'user_id', True
 @query("knn_predict_user", f"with {USER_PRED} select pair_id, user_id, item_id, gold, {r6('pred')} as pred from preds")
 def knn_predict_user(spark, sf):
     train = _train(spark, sf)
-    top = _top(nb.user_similarity_cosine(train), train, "user_id")
+    top = nb.nearest_neighbours(train, 20, "user", "cosine")
     return nb.knn_predict_user(inp.pairs(spark, sf), train, top).withColumn("pred", rounded("pred"))
 
 
 def item_predictions(spark, sf):
     train = _train(spark, sf)
-    top = _top(nb.item_similarity_cosine(train), train, "item_id")
+    top = nb.nearest_neighbours(train, 20, "item", "cosine")
     return nb.knn_predict_item(inp.pairs(spark, sf), train, top, weighted=True)
 
 

@@ -11,6 +11,7 @@ from minegrain.operators import clusters as cl
 from minegrain.operators import letor as lt
 from minegrain.operators import linear as ln
 from minegrain.operators import neighbours as nb
+from minegrain.operators import tiles
 from minegrain.operators.tiles import tiled_product
 
 
@@ -114,6 +115,30 @@ def test_knn_against_dense(spark):
     assert found == {n: pytest.approx(pred[u, i]) for n, u, i in asked}
 
 
+@pytest.mark.parametrize("by,kind", [("user", "dot"), ("user", "cosine"), ("item", "cosine"), ("item", "pcc")])
+@pytest.mark.parametrize("tile_cells", [500_000, 30])
+def test_nearest_neighbours_equal_ranked_pairs(spark, monkeypatch, by, kind, tile_cells):
+    rng = np.random.default_rng(11)
+    m = np.where(rng.random((30, 22)) < 0.3, rng.integers(1, 6, (30, 22)), 0)
+    ratings = spark.createDataFrame(
+        [(int(u), int(i), float(m[u, i])) for u, i in np.argwhere(m)], "user_id long, item_id long, rating double"
+    )
+    similarity = {
+        ("user", "dot"): nb.user_similarity_dot,
+        ("user", "cosine"): nb.user_similarity_cosine,
+        ("item", "cosine"): nb.item_similarity_cosine,
+        ("item", "pcc"): nb.item_similarity_pcc,
+    }[by, kind]
+    n = (m.sum(axis=1) > 0).sum() if by == "user" else (m.sum(axis=0) > 0).sum()
+    for k in (3, 15, 100):
+        wanted = {(r.row, r.neighbour): (r.sim, r.place) for r in nb.topk_neighbours(similarity(ratings), int(n), k).collect()}
+        monkeypatch.setattr(tiles, "BLOCK_ROWS", (6, 6))
+        monkeypatch.setattr(tiles, "TILE_CELLS", tile_cells)
+        found = nb.nearest_neighbours(ratings, k, by, kind).collect()
+        assert {(r.row, r.neighbour): r.place for r in found} == {p: v[1] for p, v in wanted.items()}
+        assert all(abs(r.sim - wanted[r.row, r.neighbour][0]) < 1e-9 for r in found)
+
+
 def test_joined_assignment_equals_packed(spark):
     rng = np.random.default_rng(2)
     v = np.where(rng.random((80, 30)) < 0.2, rng.normal(size=(80, 30)), 0.0)
