@@ -1 +1,8 @@
 """minegrain: text mining, ranking, recommendation and linear models as Spark DataFrame operators."""
+
+import sys
+
+from pyspark import cloudpickle
+
+# Functions of this package travel to the workers by value, so the package need not be installed there.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
