@@ -8,8 +8,11 @@ from pyspark.sql import functions as F
 from minegrain.llm.common import table
 from minegrain.llm.decontaminate import contamination
 from minegrain.llm.exact_dedup import exact_duplicates
+from minegrain.llm.html_text import main_text
+from minegrain.llm.language import identify_languages
 from minegrain.llm.packing import pack_documents
 from minegrain.llm.simhash import simhash_components
+from minegrain.llm.url_rules import judge_urls
 
 QUERIES = {}
 SQL = {}
@@ -52,3 +55,18 @@ def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")).drop("items")
+
+
+@query
+def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return identify_languages(table(spark, sf_dir, "documents"))
+
+
+@query
+def op4_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return judge_urls(table(spark, sf_dir, "pages"), table(spark, sf_dir, "labels"))
+
+
+@query
+def op6_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return main_text(table(spark, sf_dir, "pages"))
