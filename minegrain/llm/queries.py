@@ -12,7 +12,10 @@ from minegrain.llm.html_text import main_text
 from minegrain.llm.language import identify_languages
 from minegrain.llm.packing import pack_documents
 from minegrain.llm.simhash import simhash_components
+from minegrain.llm.token_counts import count_tokens
 from minegrain.llm.url_rules import judge_urls
+from minegrain.llm.warc import page_records, read_warc, write_warc
+from minegrain.runtime import scratch_path
 
 QUERIES = {}
 SQL = {}
@@ -70,3 +73,28 @@ def op4_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op6_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return main_text(table(spark, sf_dir, "pages"))
+
+
+@query
+def op1_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = scratch_path(spark, "warc")
+    write_warc(table(spark, sf_dir, "pages"), path)
+    return page_records(read_warc(spark, path))
+
+
+SQL["op1_warc"] = """
+with p as (select page_id, encode(coalesce(html, '')) as payload from pages),
+d as (select page_id, octet_length(payload) as payload_bytes, sha256(payload) as payload_digest from p),
+g as (select *, case when payload_bytes >= 100 then min(page_id) over (partition by payload_digest) end as keep from d)
+select page_id, payload_bytes::bigint as payload_bytes, payload_digest,
+  case when keep is null or page_id is not distinct from keep then 'response' else 'revisit' end as record_type,
+  case when keep is not null and page_id is distinct from keep then keep end as refers_to
+from g
+"""
+
+
+@query
+def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers as files
+
+    return count_tokens(table(spark, sf_dir, "documents"), files.path("piece_bpe_32k.model"))
