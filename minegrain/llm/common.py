@@ -28,6 +28,14 @@ def row_key(*cols: str) -> Column:
     return F.substring(F.unhex(F.sha2(F.concat_ws(":", *parts), 256)), 1, 16)
 
 
+def fresh(df: DataFrame, name: str) -> str:
+    """A column name that `df` does not have."""
+    have = {c.lower() for c in df.columns}
+    while name.lower() in have:
+        name += "_"
+    return name
+
+
 def lower_ascii(c: Column) -> Column:
     return F.translate(c, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
 

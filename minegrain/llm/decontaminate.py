@@ -11,7 +11,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from minegrain.llm.common import row_key, stored
+from minegrain.llm.common import fresh, row_key, stored
 
 _WORD = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
 _LOWER = {c: c + 32 for c in range(65, 91)}
@@ -19,6 +19,8 @@ _LOWER = {c: c + 32 for c in range(65, 91)}
 SHARD_WORDS = 2_000_000
 # Bytes of benchmark text that are sent to the tasks at once; more text goes in further blocks.
 BLOCK_BYTES = 16_000_000
+# Keys of contaminated texts that are sent to every task, 24 bytes each; more of them are joined by key.
+BROADCAST_ROWS = 200_000
 
 
 def words_of(text: str | None) -> list[str]:
@@ -242,3 +244,13 @@ def contamination(
         F.sha2(F.array_join("names", ","), 256).alias("items_sha256"),
         ((F.col("n_hit") > 0) & (20 * F.col("n_hit") >= F.col("n_words"))).alias("contaminated"),
     )
+
+
+def drop_contaminated(docs: DataFrame, benchmark: DataFrame, text_col: str = "text") -> DataFrame:
+    """`docs` without the rows that `contamination` finds contaminated; all columns stay. Equal texts share their verdict."""
+    key = fresh(docs, "__key")
+    keyed = docs.withColumn(key, F.base64(row_key(text_col)))
+    found = contamination(keyed, benchmark, key, text_col).filter("contaminated").select(key).distinct()
+    found = stored(found, "contaminated")
+    found = F.broadcast(found) if found.count() <= BROADCAST_ROWS else found
+    return keyed.join(found, key, "left_anti").select(*docs.columns)

@@ -9,6 +9,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from minegrain.llm.common import fresh
+
 SLOTS_LOG2 = 18
 # Odd multipliers of the hash functions (multiply, keep the top bits).
 MULTIPLIERS = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0xD6E8FEB86659FD93)
@@ -170,8 +172,23 @@ def identify(
         for b in batches:
             yield pd.DataFrame([decide(t, langs, bits, false, usual) for t in b], columns=["lang", "score"])
 
-    got = docs.withColumn("__lid", predict(F.col(text_col).cast("string")))
-    return got.withColumns({lang_name: F.col("__lid.lang"), score_name: F.col("__lid.score")}).drop("__lid")
+    both = fresh(docs, "__both")
+    got = docs.withColumn(both, predict(F.col(text_col).cast("string")))
+    return got.withColumns({lang_name: F.col(both)["lang"], score_name: F.col(both)["score"]}).drop(both)
+
+
+def keep_identified(
+    docs: DataFrame,
+    min_score: float,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    lang_col: str = "lang",
+) -> DataFrame:
+    """`docs` without the rows that are `und` or score below `min_score`: texts in none of the learned languages."""
+    lang, score = fresh(docs, "__lang"), fresh(docs, "__score")
+    languages, table, common = learn(docs.filter(~held_out(id_col)), lang_col, text_col)
+    marked = identify(docs, languages, table, common, text_col, lang, score)
+    return marked.filter((F.col(lang) != "und") & (F.col(score) >= min_score)).select(*docs.columns)
 
 
 def identify_languages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> DataFrame:

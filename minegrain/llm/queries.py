@@ -10,6 +10,7 @@ from minegrain.llm.decontaminate import contamination
 from minegrain.llm.exact_dedup import exact_duplicates
 from minegrain.llm.html_text import main_text
 from minegrain.llm.language import identify_languages
+from minegrain.llm.line_dedup import judge_lines
 from minegrain.llm.packing import pack_documents
 from minegrain.llm.simhash import simhash_components
 from minegrain.llm.token_counts import count_tokens
@@ -98,3 +99,8 @@ def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers as files
 
     return count_tokens(table(spark, sf_dir, "documents"), files.path("piece_bpe_32k.model"))
+
+
+@query
+def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return judge_lines(table(spark, sf_dir, "documents"))

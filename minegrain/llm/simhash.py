@@ -9,9 +9,10 @@ import numpy as np
 import pandas as pd
 import xxhash
 from pyspark.sql import DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from minegrain.llm.common import connected_components, stored
+from minegrain.llm.common import connected_components, fresh, stored
 
 BITS = 64
 # Rows of one trie forest; the number of forests follows the number of fingerprints.
@@ -206,6 +207,15 @@ def fingerprint_links(fps: DataFrame, budget: int = 4) -> DataFrame:
     return done.repartition(forests, "mask", "key").mapInPandas(join, "a bigint, b bigint").distinct()
 
 
+def fingerprint_components(marked: DataFrame, budget: int) -> DataFrame:
+    """(fp, component_id) for each different fingerprint of `marked` (__id, fp)."""
+    nodes = stored(marked.groupBy("fp").agg(F.min("__id").alias("__low")), "nodes")
+    roots = connected_components(fingerprint_links(nodes, budget), "a", "b").withColumnRenamed("node", "fp")
+    nodes = nodes.join(roots, "fp", "left").withColumn("root", F.coalesce("root", "fp"))
+    names = nodes.groupBy("root").agg(F.min("__low").alias("component_id"))
+    return nodes.join(names, "root").select("fp", "root", "component_id")
+
+
 def simhash_components(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = 4, budget: int = 4
 ) -> DataFrame:
@@ -216,13 +226,36 @@ def simhash_components(
     Repeated rows give repeated rows. An empty table gives an empty result; other columns are ignored.
     """
     marked = stored(with_fingerprints(docs, id_col, text_col, words).withColumnRenamed(id_col, "__id"), "fingerprints")
-    nodes = stored(marked.groupBy("fp").agg(F.min("__id").alias("__low")), "nodes")
-    roots = connected_components(fingerprint_links(nodes, budget), "a", "b").withColumnRenamed("node", "fp")
-    nodes = nodes.join(roots, "fp", "left").withColumn("root", F.coalesce("root", "fp"))
-    names = nodes.groupBy("root").agg(F.min("__low").alias("component_id"))
-    named = nodes.join(names, "root").select("fp", "component_id")
+    named = fingerprint_components(marked, budget)
     return marked.join(named, "fp").select(
         F.col("__id").alias(id_col),
         F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"),
         "component_id",
     )
+
+
+def keep_one_per_component(
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = 4, budget: int = 4
+) -> DataFrame:
+    """`docs` with one row of each component: that with the smallest id, of rows that share it the first by text.
+
+    Rows without an id stay only if their whole component has none, and then one of them. All columns stay.
+    """
+    fp, low = fresh(docs, "__fp"), fresh(docs, "__low")
+
+    @F.pandas_udf("long")
+    def mark(texts: pd.Series) -> pd.Series:
+        return pd.Series(np.array([fingerprint(t, words) for t in texts], np.uint64).view(np.int64))
+
+    marked = stored(with_fingerprints(docs, id_col, text_col, words).withColumnRenamed(id_col, "__id"), "fingerprints")
+    first = fingerprint_components(marked, budget).select(
+        F.col("fp").alias(fp), F.coalesce(F.col("component_id").cast("string"), F.lit("")).alias(low), "root"
+    )
+    rows = docs.withColumn(fp, mark(F.col(text_col).cast("string")))
+    rows = rows.withColumn(low, F.coalesce(F.col(id_col).cast("string"), F.lit("")))
+    # Only rows with the id that names their component meet a row here, so copies pile up in no task.
+    root = fresh(docs, "__root")
+    kept = rows.join(first.withColumnRenamed("root", root), [fp, low])
+    place = fresh(docs, "__place")
+    order = W.partitionBy(root).orderBy(F.col(id_col), F.col(text_col), F.col(fp))
+    return kept.withColumn(place, F.row_number().over(order)).filter(F.col(place) == 1).select(*docs.columns)
