@@ -19,6 +19,8 @@ BITS = 64
 FOREST_ROWS = 200_000
 # A bucket with more fingerprints is dealt again by further bits.
 BUCKET_ROWS = 4096
+# Times that buckets are dealt again; each time a bucket's rows go to five.
+MAX_DEALS = 2
 # Node pairs that are expanded at once.
 FRONTIER = 500_000
 _WORD = re.compile(r"[^\x20\x09-\x0D]+")
@@ -156,27 +158,28 @@ def fingerprint_links(fps: DataFrame, budget: int = 4) -> DataFrame:
     """(a, b): links between distinct fingerprints (column fp) within `budget` bits, as a spanning forest per bucket.
 
     Two fingerprints within the budget agree in one of budget + 1 runs of bits, so every pair meets in a bucket of equal
-    bits. Buckets above BUCKET_ROWS are dealt again by runs of the remaining bits, with the same guarantee, until they are
-    small or few bits are left. Buckets are dealt to forests, whose tries are joined with themselves.
+    bits. Buckets above BUCKET_ROWS are dealt again by runs of the remaining bits, with the same guarantee, up to MAX_DEALS
+    times; what is still large then agrees in half of all bits and stays whole. Buckets are dealt to forests, whose tries are
+    joined with themselves.
     """
     full = (1 << BITS) - 1
     masks = _split_mask(full, budget + 1)
     rows = fps.select("fp").distinct()
     done = None
-    while True:
+    for deal in range(MAX_DEALS + 1):
         keyed = rows.withColumn("mask", F.explode(F.array(*[F.lit(_signed(m)) for m in masks]))) if done is None else rows
         keyed = stored(keyed.withColumn("key", F.col("fp").bitwiseAND(F.col("mask"))).select("fp", "mask", "key"), "buckets")
-        big = keyed.groupBy("mask", "key").count().filter(F.col("count") > BUCKET_ROWS).select("mask", "key")
-        big = stored(big, "hot-buckets")
-        hot_masks = [r[0] for r in big.select("mask").distinct().collect()]  # one of a fixed set
+        if deal < MAX_DEALS:
+            big = keyed.groupBy("mask", "key").count().filter(F.col("count") > BUCKET_ROWS).select("mask", "key")
+            big = stored(big, "hot-buckets")
+            hot_masks = [r[0] for r in big.select("mask").distinct().collect()]  # of a fixed set
+        else:
+            hot_masks = []
         again = {m: _split_mask(full & ~(m % (1 << BITS)), budget + 1) for m in hot_masks}
-        again = {m: parts for m, parts in again.items() if len([p for p in parts if p]) == budget + 1}
         if not again:
             small = keyed
         else:
-            small = keyed.join(big, ["mask", "key"], "left_anti").unionByName(
-                keyed.filter(~F.col("mask").isin(list(again))).join(big, ["mask", "key"], "left_semi")
-            )
+            small = keyed.join(big, ["mask", "key"], "left_anti")
         done = small if done is None else done.unionByName(small)
         if not again:
             break
@@ -184,8 +187,7 @@ def fingerprint_links(fps: DataFrame, budget: int = 4) -> DataFrame:
             *[x for m, parts in again.items() for x in (F.lit(m), F.array(*[F.lit(_signed(p)) for p in parts]))]
         )
         rows = (
-            keyed.filter(F.col("mask").isin(list(again)))
-            .join(big, ["mask", "key"], "left_semi")
+            keyed.join(big, ["mask", "key"], "left_semi")
             .select("fp", F.col("mask").alias("__m"), F.explode(finer[F.col("mask")]).alias("__p"))
             .select("fp", F.col("__m").bitwiseOR(F.col("__p")).alias("mask"))
         )
@@ -198,6 +200,9 @@ def fingerprint_links(fps: DataFrame, budget: int = 4) -> DataFrame:
         fp, mask, key = (b[c].to_numpy(np.int64).view(np.uint64) for c in ("fp", "mask", "key"))
         order = np.lexsort((fp, key, mask))
         fp, mask, key = fp[order], mask[order], key[order]
+        # Two ways of dealing may lead to one mask; equal leaves would hide each other's links.
+        first = np.concatenate(([True], (np.diff(fp) != 0) | (np.diff(mask) != 0) | (np.diff(key) != 0)))
+        fp, mask, key = fp[first], mask[first], key[first]
         new = np.flatnonzero((np.diff(mask) != 0) | (np.diff(key) != 0)) + 1
         root = _roots(fp, np.concatenate(([0], new, [len(fp)])).astype(np.int64), budget)
         moved = root != np.arange(len(fp))
