@@ -1,0 +1,427 @@
+"""Operators on documents against brute force, and edge cases."""
+
+from __future__ import annotations
+
+import hashlib
+import random
+import re
+import zlib
+
+import numpy as np
+import pytest
+import xxhash
+from check_queries import compare, connect
+from pyspark.sql import functions as F
+
+from minegrain.llm import queries as q
+from minegrain.llm.decontaminate import contamination, longest_matches, words_of
+from minegrain.llm.exact_dedup import exact_duplicates
+from minegrain.llm.language import identify_languages, keep_identified
+from minegrain.llm.line_dedup import drop_repeated_lines, judge_lines, within_edits
+from minegrain.llm.packing import load_encoder, pack_documents, pack_pool
+from minegrain.llm.simhash import fingerprint, fingerprint_links, keep_one_per_component, simhash_components
+from minegrain.llm.token_counts import Counter, count_tokens, load_vocabulary
+
+LOWER = {c: c + 32 for c in range(65, 91)}
+
+
+@pytest.fixture(scope="module")
+def docs(spark, sf):
+    return spark.read.parquet(f"{sf}/documents.parquet").cache()
+
+
+def texts(df):
+    return [(r.doc_id, r.text) for r in df.select("doc_id", "text").collect()]
+
+
+class Union:
+    def __init__(self, nodes):
+        self.up = {n: n for n in nodes}
+
+    def root(self, x):
+        while self.up[x] != x:
+            x = self.up[x]
+        return x
+
+    def join(self, a, b):
+        a, b = self.root(a), self.root(b)
+        self.up[max(a, b)] = min(a, b)
+
+
+# --- exact duplicates
+
+
+def test_exact_duplicates_sql(spark, sf):
+    con = connect(sf)
+    assert compare(q.QUERIES["op7_exact_dedup"](spark, sf).toPandas(), con.execute(q.SQL["op7_exact_dedup"]).df()) == ""
+
+
+def brute_exact(rows):
+    norm = [(d, re.sub(r"[\x20\x09-\x0D]+", " ", t or "")) for d, t in rows]
+    groups = {}
+    for d, t in norm:
+        groups.setdefault(t, []).append(d)
+    out = []
+    for d, t in norm:
+        low = min([x for x in groups[t] if x is not None], default=None)
+        out.append((d, low, len(groups[t]), d == low, hashlib.sha256(t.encode()).hexdigest()))
+    return sorted(out, key=str)
+
+
+def test_exact_duplicates_edges(edge_docs, no_docs):
+    got = exact_duplicates(edge_docs)
+    assert sorted(map(tuple, got.collect()), key=str) == brute_exact(texts(edge_docs))
+    assert exact_duplicates(no_docs).count() == 0
+
+
+def test_exact_duplicates_survive_digest_clashes(edge_docs):
+    short = lambda c: F.substring(F.sha2(c, 256), 1, 1)
+    got = exact_duplicates(edge_docs, digest=short)
+    assert sorted(map(tuple, got.collect()), key=str) == brute_exact(texts(edge_docs))
+
+
+# --- SimHash
+
+
+def brute_fingerprint(text):
+    words = re.findall(r"[^\x20\x09-\x0D]+", (text or "").translate(LOWER))
+    shingles = [" ".join(words[i : i + 4]) for i in range(max(1, len(words) - 3))] if words else []
+    h = [xxhash.xxh64_intdigest(s.encode(), 42) for s in shingles]
+    return sum(1 << b for b in range(64) if 2 * sum(x >> b & 1 for x in h) > len(h))
+
+
+def brute_components(rows, names_only=False):
+    fps = [brute_fingerprint(t) for _, t in rows]
+    u = Union(range(len(rows)))
+    a = np.array(fps, np.uint64)
+    for i in range(len(rows)):
+        for j in np.flatnonzero(np.bitwise_count(a[i + 1 :] ^ a[i]) <= 4) + i + 1:
+            u.join(i, int(j))
+    low = {}
+    for i, (d, _) in enumerate(rows):
+        r = u.root(i)
+        low[r] = d if low.get(r) is None else low[r] if d is None else min(low[r], d)
+    if names_only:
+        return sorted(map(str, low.values()))
+    return sorted(((d, f"{fps[i]:016x}", low[u.root(i)]) for i, (d, _) in enumerate(rows)), key=str)
+
+
+def test_simhash_against_brute_force(docs, edge_docs, no_docs):
+    for df in (docs, edge_docs):
+        assert sorted(map(tuple, simhash_components(df).collect()), key=str) == brute_components(texts(df))
+    assert simhash_components(no_docs).count() == 0
+
+
+def test_fingerprint_uses_spark_hash(spark):
+    assert fingerprint("A b\tc") == int(spark.sql("select xxhash64('a b c')").first()[0]) % (1 << 64)
+
+
+def test_trie_join_and_dealing_of_hot_buckets(spark, monkeypatch):
+    import minegrain.llm.simhash as s
+
+    rng = random.Random(5)
+    centres = [rng.getrandbits(64) for _ in range(30)]
+    values = set()
+    for c in centres:
+        for _ in range(40):
+            v = c
+            for _ in range(rng.randint(0, 6)):
+                v ^= 1 << rng.randrange(64)
+            values.add(v)
+    values = sorted(values)
+    u = Union(values)
+    a = np.array(values, np.uint64)
+    for i in range(len(a)):
+        for j in np.flatnonzero(np.bitwise_count(a[i + 1 :] ^ a[i]) <= 4) + i + 1:
+            u.join(values[i], values[int(j)])
+    frame = spark.createDataFrame([(int(np.uint64(v).view(np.int64)),) for v in values], "fp long")
+    for limit, frontier in ((4096, 500_000), (10, 50)):
+        monkeypatch.setattr(s, "BUCKET_ROWS", limit)
+        monkeypatch.setattr(s, "FRONTIER", frontier)
+        got = Union(values)
+        for x, y in fingerprint_links(frame).collect():
+            got.join(x % (1 << 64), y % (1 << 64))
+        assert [got.root(v) for v in values] == [u.root(v) for v in values]
+
+
+def test_keep_one_per_component(edge_docs, no_docs):
+    kept = keep_one_per_component(edge_docs)
+    assert kept.columns == edge_docs.columns
+    assert sorted(str(r.doc_id) for r in kept.collect()) == brute_components(texts(edge_docs), True)
+    assert keep_one_per_component(no_docs).count() == 0
+
+
+# --- decontamination
+
+
+def brute_contamination(rows, items, width=13):
+    windows = {}
+    for name, text in items:
+        w = words_of(text)
+        for k in range(max(1, len(w) - width + 1)) if w else ():
+            windows.setdefault(tuple(w[k : k + width]), set()).add(str(name))
+    out = []
+    for d, t in rows:
+        w, hit, names = words_of(t), set(), set()
+        for n in {len(x) for x in windows}:
+            for k in range(len(w) - n + 1):
+                own = windows.get(tuple(w[k : k + n]))
+                if own:
+                    hit.update(range(k, k + n))
+                    names |= own
+        sha = hashlib.sha256(",".join(sorted(names)).encode()).hexdigest()
+        out.append((d, len(w), len(hit), len(names), sha, len(hit) > 0 and 20 * len(hit) >= len(w)))
+    return sorted(out, key=str)
+
+
+def test_contamination_against_brute_force(spark, sf, docs, edge_docs, no_docs, monkeypatch):
+    import minegrain.llm.decontaminate as d
+
+    bench = spark.read.parquet(f"{sf}/benchmark.parquet")
+    extra = spark.createDataFrame([(900, "tie tie"), (901, None), (902, ""), (903, "a"), (900, "tie tie"), (904, "ä ß")], "item_id long, text string")
+    items = [tuple(r) for r in bench.union(extra).collect()]
+    for df in (docs, edge_docs):
+        for bench_df in (bench, bench.union(extra)):
+            own = [i for i in items if bench_df is not bench or i[0] < 900]
+            got = contamination(df, bench_df).drop("items")
+            assert sorted(map(tuple, got.collect()), key=str) == brute_contamination(texts(df), own)
+    monkeypatch.setattr(d, "SHARD_WORDS", 50)
+    monkeypatch.setattr(d, "BLOCK_BYTES", 3000)
+    got = contamination(docs.union(docs.limit(3)), bench.union(extra)).drop("items")
+    want = brute_contamination(texts(docs) + texts(docs.limit(3)), items)
+    assert sorted(map(tuple, got.collect()), key=str) == want
+    assert contamination(no_docs, bench).count() == 0
+    none = contamination(docs.limit(5), bench.limit(0)).collect()
+    assert all(r.n_hit == 0 and not r.contaminated for r in none)
+
+
+def test_longest_matches():
+    ids = np.array([1, 2, 3, 0, 2, 3, 4, 5, 0], np.uint32)
+    assert longest_matches(ids, [np.array([9, 2, 3, 4, 7], np.uint32)]) == [(1, 3, 4)]
+    assert longest_matches(ids, [np.array([8, 9], np.uint32)])[0][1] == 0
+
+
+# --- packing
+
+
+def check_packing(rows, pieces, encode, separator=1, limit=2048, segments=512):
+    by = {}
+    for p in pieces:
+        by.setdefault((p.doc_id, p.doc_tokens, p.ids_crc32 if p.length == p.doc_tokens else None), []).append(p)
+    total = sum(p.length for p in pieces)
+    ids = [np.append(encode([t or ""])[0], np.uint32(separator)).astype("<u4") for _, t in rows]
+    assert total == sum(map(len, ids))
+    known = {}
+    for (d, _), own in zip(rows, ids):
+        known.setdefault(d, []).append(own)
+    for p in pieces:
+        assert any(
+            len(own) == p.doc_tokens and zlib.crc32(own[p.start : p.start + p.length].tobytes()) == p.ids_crc32
+            for own in known[p.doc_id]
+        )
+    seqs = {}
+    for p in pieces:
+        seqs.setdefault(p.sequence_id, []).append((p.offset, p.length))
+    padded = 0
+    for s in seqs.values():
+        at = 0
+        for offset, length in sorted(s):
+            assert offset == at
+            at += length
+        assert at <= limit and len(s) <= segments
+        padded += limit - at if at & (at - 1) else 0
+    return padded / max(1, total)
+
+
+def test_packing_round_trip(docs, edge_docs, no_docs):
+    encode = load_encoder(*q.bpe_encoder())
+    for df in (docs, edge_docs):
+        pieces = pack_documents(df, q.bpe_encoder()).collect()
+        assert check_packing(texts(df), pieces, encode) == 0
+    assert pack_documents(no_docs, q.bpe_encoder()).count() == 0
+    firm = docs.limit(60)
+    pieces = pack_documents(firm, q.bpe_encoder(), max_segments=3, max_loss=1500, separator_has_loss=False, with_ids=True).collect()
+    check_packing(texts(firm), pieces, encode, segments=3)
+    loss = {}
+    for p in pieces:
+        last = p.start + p.length == p.doc_tokens
+        loss[p.sequence_id] = loss.get(p.sequence_id, 0) + p.length - last
+        assert zlib.crc32(np.array(p.ids, "<u4").tobytes()) == p.ids_crc32
+    assert max(loss.values()) <= 1500
+
+
+def test_encoder_is_the_tokenizer(docs):
+    json_path, ranks, pattern = q.bpe_encoder()
+    slow, fast = load_encoder(json_path, None, pattern), load_encoder(json_path, ranks, pattern)
+    rng = random.Random(1)
+    odd = ["".join(rng.choice("ab \n\t'sé漢😀09_<|endoftext|>") for _ in range(60)) for _ in range(300)]
+    lot = [t or "" for _, t in texts(docs)] + odd + ["a<|endoftext|>b", "", "x" * 5000]
+    for a, b in zip(slow(lot), fast(lot)):
+        assert a.tolist() == b.tolist()
+
+
+def test_dot_product_rule_keeps_limits():
+    rng = np.random.default_rng(0)
+    demand = np.column_stack([rng.integers(1, 60, 200), np.ones(200, int), rng.integers(0, 30, 200)])
+    demand[:, 2] = np.minimum(demand[:, 2], demand[:, 0])
+    bins, rest = pack_pool(demand.astype(float), np.array([100.0, 4, 50]), False, True)
+    assert rest == [] and sorted(i for b in bins for i, _ in b) == list(range(200))
+    for b in bins:
+        assert (demand[[i for i, _ in b]].sum(axis=0) <= [100, 4, 50]).all()
+    with pytest.raises(ValueError):
+        pack_pool(np.array([[200.0, 1, 0]]), np.array([100.0, 4, 50]), False, True)
+
+
+# --- language
+
+
+def test_language_held_out_accuracy(docs, edge_docs, no_docs):
+    got = identify_languages(docs).join(docs.select("doc_id", "lang"), "doc_id").toPandas()
+    held = np.array([zlib.crc32(str(d).encode()) % 3 == 1 for d in got.doc_id])
+    assert (got.held_out == held).all() and got.score.between(0, 1).all()
+    assert (got.lang_pred == got.lang)[held].mean() >= 0.97
+    edge = identify_languages(edge_docs).collect()
+    assert len(edge) == edge_docs.count()
+    for d, t in texts(edge_docs):
+        letter = any(c.isalpha() for c in t or "")
+        assert any(r.doc_id == d and (r.lang_pred == "und") == (not letter) for r in edge)
+    assert identify_languages(no_docs).count() == 0
+    blank = docs.limit(4).withColumn("lang", F.lit(None).cast("string"))
+    assert {r.lang_pred for r in identify_languages(blank).collect()} == {"und"}
+    assert keep_identified(docs, 0.3).count() == docs.count()
+    assert keep_identified(edge_docs, 0.0).columns == edge_docs.columns
+
+
+def test_language_ignores_labels_of_held_out_rows(docs):
+    wrong = docs.withColumn("lang", F.when(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 3 == 1, "xx").otherwise(F.col("lang")))
+    assert {r.lang_pred for r in identify_languages(wrong).collect()} == {r.lang for r in docs.select("lang").distinct().collect()}
+
+
+# --- lines
+
+
+def brute_lines(rows, threshold=2, least=20):
+    occ = [(d, i, s) for d, t in rows if t is not None for i, s in enumerate(t.split("\n")) if len(s) >= least]
+    place = lambda d, i: (d is None, d or 0, i)
+    first = {}
+    for d, i, s in occ:
+        first[s] = min(first.get(s, place(d, i)), place(d, i))
+    names = sorted(first, key=lambda s: first[s])
+    u, degree = Union(range(len(names))), dict.fromkeys(names, 0)
+    for a in range(len(names)):
+        for b in range(a + 1, len(names)):
+            x, y = names[a], names[b]
+            if abs(len(x) - len(y)) <= threshold and edits(x, y, threshold) <= threshold:
+                u.join(a, b)
+                degree[x] += 1
+                degree[y] += 1
+    rank = {s: i for i, s in enumerate(names)}
+    out = []
+    for d, i, s in occ:
+        c = first[names[u.root(rank[s])]]
+        own = place(d, i)
+        out.append((d, i, None if c[0] else c[1], c[2], degree[s], own == c))
+    return sorted(out, key=str)
+
+
+def edits(a, b, limit):
+    row = list(range(len(b) + 1))
+    for i, x in enumerate(a):
+        new = [i + 1]
+        for j, y in enumerate(b):
+            new.append(min(row[j] + (x != y), row[j + 1] + 1, new[j] + 1))
+        row = new
+        if min(row) > limit:
+            return limit + 1
+    return row[-1]
+
+
+def line_docs(spark):
+    rng = random.Random(4)
+    base = ["".join(rng.choice("abcdé ") for _ in range(rng.randint(18, 30))) for _ in range(25)]
+    rows = []
+    for d in range(60):
+        lines = []
+        for _ in range(rng.randint(0, 6)):
+            s = list(rng.choice(base))
+            for _ in range(rng.choice([0, 0, 1, 2, 3, 5])):
+                p = rng.randrange(len(s))
+                s[p : p + rng.randint(0, 1)] = rng.choice(["", "x", "y"])
+            lines.append("".join(s))
+        rows.append((d if d != 7 else None, "\n".join(lines)))
+    rows += [rows[5], (3, rows[9][1]), (None, rows[9][1]), (61, None), (62, "")]
+    return spark.createDataFrame(rows, "doc_id long, text string")
+
+
+def test_lines_against_brute_force(spark, edge_docs, no_docs):
+    for df in (line_docs(spark), edge_docs.filter("length(text) < 100000")):
+        assert sorted(map(tuple, judge_lines(df).collect()), key=str) == brute_lines(texts(df))
+    assert judge_lines(edge_docs).count() > 0
+    assert judge_lines(no_docs).count() == 0
+    assert drop_repeated_lines(edge_docs).columns == edge_docs.columns
+
+
+def test_dropped_lines(spark):
+    df = line_docs(spark)
+    kept = {(d, i) for d, i, *_, k in map(tuple, judge_lines(df).collect()) if k}
+    want = []
+    for d, t in texts(df):
+        lines = None if t is None else t.split("\n")
+        want.append((d, t and "\n".join(s for i, s in enumerate(lines) if len(s) < 20 or (d, i) in kept)))
+    got = [(r.doc_id, r.text) for r in drop_repeated_lines(df).collect()]
+    # Rows that share an id have lines of their own; they are compared apart.
+    once = lambda rows: sorted((r for r in rows if r[0] not in (3, 5, None)), key=str)
+    assert once(got) == once(want) and len(got) == len(want)
+
+
+@pytest.mark.parametrize("threshold", [0, 1, 2, 4])
+def test_banded_edit_distance(spark, threshold):
+    rng = random.Random(threshold)
+    rows = []
+    for _ in range(1500):
+        a = [rng.choice("abé😀") for _ in range(rng.randint(0, 20))]
+        b = a.copy()
+        for _ in range(rng.randint(0, 5)):
+            p = rng.randint(0, len(b))
+            b[p : p + rng.randint(0, 1)] = rng.choice(["", "a", "b"])
+        rows.append(tuple(sorted(("".join(a), "".join(b)), key=len, reverse=True)))
+    df = spark.createDataFrame(rows, "x string, y string").filter(F.length("x") - F.length("y") <= threshold)
+    got = df.select(F.expr(within_edits("x", "y", threshold)).alias("g"), (F.levenshtein("x", "y") <= threshold).alias("w"))
+    assert got.filter("g <> w").count() == 0 and got.filter("w").count() > 0
+
+
+# --- token counts
+
+
+def test_token_counts_are_the_tokenizers(docs, edge_docs, no_docs):
+    import public_tokenizers as files
+    from tokenizers import Tokenizer, models
+
+    path = files.path("piece_bpe_32k.model")
+    vocabulary = load_vocabulary(path)
+    pieces = [("<unk>", 0.0), *vocabulary.items(), *((f"<0x{b:02X}>", 0.0) for b in range(256))]
+    tok = Tokenizer(models.Unigram(pieces, unk_id=0, byte_fallback=True))
+    rng = random.Random(2)
+    odd = ["".join(rng.choice("abc  \n▁é漢😀the") for _ in range(rng.randint(0, 40))) for _ in range(500)]
+    counter = Counter(vocabulary)
+    for t in [t for _, t in texts(docs.limit(60))] + odd:
+        assert counter.count(t)[0] == (len(tok.encode("▁" + t.replace(" ", "▁")).ids) if t else 0)
+    got = count_tokens(edge_docs, path).collect()
+    want = sorted(((d, counter.count(t)[0]) for d, t in texts(edge_docs)), key=str)
+    assert sorted(((r.doc_id, r.n_tokens) for r in got), key=str) == want
+    assert count_tokens(no_docs, path).count() == 0
+
+
+def test_ties_and_fractional_scores():
+    from tokenizers import Tokenizer, models
+
+    rng = random.Random(3)
+    for scores in ([-1.0, -2.0, -3.0], [-1.5, -2.25, -0.1]):
+        pieces = {"".join(rng.choice("ab▁") for _ in range(rng.randint(1, 4))): rng.choice(scores) for _ in range(12)}
+        tok = Tokenizer(models.Unigram([("<unk>", 0.0), *pieces.items()], unk_id=0, byte_fallback=False))
+        counter = Counter(pieces)
+        for _ in range(300):
+            t = "".join(rng.choice("ab ") for _ in range(rng.randint(1, 12)))
+            marked = "▁" + t.replace(" ", "▁")
+            if all(c in "".join(p for p in pieces if len(p) == 1) for c in marked):
+                assert counter.count(t)[0] == len(tok.encode(marked).ids)
