@@ -182,11 +182,10 @@ def shared_lines(pages: DataFrame, key: str, url_col: str, html_col: str) -> Dat
     def align(path: pd.Series, lines: pd.Series, kinds: pd.Series, pp: pd.Series, lp: pd.Series, pn: pd.Series, ln: pd.Series) -> pd.Series:
         out = []
         for p, own, kind, path_p, lines_p, path_n, lines_n in zip(path, lines, kinds, pp, lp, pn, ln):
-            if path_p is None and path_n is None:
-                out.append([])
-                continue
-            left = path_n is None or path_p is not None and _same(p, path_p) >= _same(p, path_n)
-            got = common_lines(list(own), list(lines_p if left else lines_n))
+            own = list(own)
+            beside = [(q, list(x)) for q, x in ((path_p, lines_p), (path_n, lines_n)) if q is not None]
+            beside = [(_same(p, q), x) for q, x in beside if x != own]
+            got = common_lines(own, max(beside, key=lambda b: b[0])[1]) if beside else []
             out.append([i for i in got if kind[i] == 1])
         return pd.Series(out)
 
@@ -207,7 +206,7 @@ def main_text(
     article or main element with text, only its blocks stay.
 
     Null html is empty and gives an empty text. Null urls have an empty host and pair with each other. Repeated rows get the
-    same text. Pages without a neighbour lose no shared lines. An empty table gives an empty result; other columns are
+    same text. A neighbour with exactly the same lines says nothing; pages without another lose no shared lines. An empty table gives an empty result; other columns are
     ignored.
     """
     rows = pages.select(F.col(id_col).alias("__id"), F.col(url_col).alias("__url"), F.col(html_col).alias("__html"))
