@@ -6,13 +6,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from minegrain.operators.evaluate import rmse
-from minegrain.operators.matrix import normalize_l2
 from minegrain.operators.tiles import tiled_best, tiled_product
-from minegrain.runtime import cut_lineage
+from minegrain.runtime import broadcast_if_small, cut_lineage
 
 NEUTRAL = 3.0
-# Similarities that agree to this many digits are ties (the lower id wins), and those that round to 0 are 0.
+# Similarities that agree to this many digits are ties, and the lower id wins.
 TIE_DIGITS = 9
 
 
@@ -26,14 +24,21 @@ def user_mean_centering(ratings: DataFrame) -> DataFrame:
     return ratings.join(means, "user_id").withColumn("rating", F.col("rating") - F.col("__mean")).drop("__mean")
 
 
-def _cells(centred: DataFrame, row: str, inner: str, cosine: bool) -> DataFrame:
+def _cells(centred: DataFrame, row: str, inner: str) -> DataFrame:
     cells = centred.select(F.col(row).alias("row"), F.col(inner).alias("inner"), F.col("rating").alias("value"))
-    cells = cells.filter("value <> 0")
-    return normalize_l2(cells) if cosine else cells
+    return cells.filter("value <> 0")
 
 
 def _gram(centred: DataFrame, row: str, inner: str, cosine: bool) -> DataFrame:
-    return tiled_product(_cells(centred, row, inner, cosine))
+    """Dot products that are not 0; for the cosine they are divided by the lengths afterwards, so that 0 stays exact."""
+    cells = _cells(centred, row, inner)
+    pairs = tiled_product(cells)
+    if not cosine:
+        return pairs
+    length = broadcast_if_small(cells.groupBy("row").agg(F.sqrt(F.sum(F.col("value") * F.col("value"))).alias("n")))
+    pairs = pairs.join(length.select(F.col("row").alias("left"), F.col("n").alias("nl")), "left")
+    pairs = pairs.join(length.select(F.col("row").alias("right"), F.col("n").alias("nr")), "right")
+    return pairs.select("left", "right", (F.col("value") / (F.col("nl") * F.col("nr"))).alias("value"))
 
 
 def _user_pairs(ratings: DataFrame, cosine: bool) -> DataFrame:
@@ -85,7 +90,7 @@ def topk_neighbours(sim: DataFrame, n_items: int, k: int) -> DataFrame:
         ).alias("p"),
         "sim",
     )
-    both = both.select("p.row", "p.neighbour", "sim").filter(F.round("sim", TIE_DIGITS) != 0)
+    both = both.select("p.row", "p.neighbour", "sim").filter("sim <> 0")
     counts = both.groupBy("row").agg(F.count_if(F.col("sim") > 0).alias("n_pos"), F.count_if(F.col("sim") < 0).alias("n_neg"))
     return _placed(both, counts, n_items, k)
 
@@ -114,7 +119,7 @@ def nearest_neighbours(ratings: DataFrame, k: int, by: str = "item", kind: str =
     row, inner = ("user_id", "item_id") if by == "user" else ("item_id", "user_id")
     centred = user_mean_centering(ratings) if kind == "pcc" else center_ratings(ratings)
     n = ratings.select(row).distinct().count()
-    found = tiled_best(_cells(centred, row, inner, kind != "dot"), min(k, n - 1), TIE_DIGITS)
+    found = tiled_best(_cells(centred, row, inner), min(k, n - 1), TIE_DIGITS, kind != "dot")
     if found is None:
         pairs = _gram(centred, row, inner, kind != "dot").withColumnRenamed("value", "sim")
         return topk_neighbours(pairs, n, k)
@@ -158,11 +163,38 @@ def knn_predict_item(pairs: DataFrame, ratings: DataFrame, neighbours: DataFrame
     return _scored(pairs, wanted.join(given, ["neighbour", "user_id"]))
 
 
+def _sweep_errors(
+    pairs: DataFrame, gold: DataFrame, ratings: DataFrame, ranked: DataFrame, ks: tuple[int, ...], memory: bool
+) -> DataFrame:
+    """(weighted, k, rmse) of all k and both weightings from one join of the pairs, their neighbours and the ratings."""
+    row, other = ("user_id", "item_id") if memory else ("item_id", "user_id")
+    upto = lambda k, c: F.when(F.col("place") <= k, c)
+    weights = {True: F.col("sim"), False: F.lit(1.0)}
+    cases = [(weighted, k) for weighted in weights for k in ks]
+    ranked = ranked.withColumnRenamed("row", row)
+    totals = ranked.groupBy(row).agg(
+        *[F.sum(upto(k, F.abs(weights[w]))).alias(f"total_{i}") for i, (w, k) in enumerate(cases)]
+    )
+    given = center_ratings(ratings).select(F.col(row).alias("neighbour"), other, "rating")
+    evidence = pairs.select("pair_id", row, other).join(ranked, row).join(given, ["neighbour", other])
+    sums = evidence.groupBy("pair_id").agg(
+        *[F.sum(upto(k, weights[w] * F.col("rating"))).alias(f"sum_{i}") for i, (w, k) in enumerate(cases)]
+    )
+    scored = pairs.select("pair_id", row).join(sums, "pair_id", "left").join(totals, row, "left")
+    scored = scored.join(gold.select("pair_id", "gold"), "pair_id")
+    error = lambda i: F.coalesce(F.col(f"sum_{i}") / F.col(f"total_{i}"), F.lit(0.0)) + NEUTRAL - F.col("gold")
+    out = scored.agg(*[F.sqrt(F.avg(error(i) * error(i))).alias(f"rmse_{i}") for i in range(len(cases))])
+    rows = [
+        F.struct(F.lit(w).alias("weighted"), F.lit(k).alias("k"), F.col(f"rmse_{i}").alias("rmse")) for i, (w, k) in enumerate(cases)
+    ]
+    return out.select(F.inline(F.array(*rows)))
+
+
 def knn_sweep(train: DataFrame, pairs: DataFrame, gold: DataFrame, ks: tuple[int, ...] = (10, 100, 500)) -> DataFrame:
     """(memory, pcc, weighted, cosine, k, rmse) for user-based, item-based and mean-centred neighbours.
 
-    Each similarity is computed and ranked once for the largest k; smaller ones are filters on it. All configurations
-    of one similarity share the neighbour table in the shared folder.
+    Each similarity is computed and ranked once for the largest k, and joined once: smaller k and both weightings are
+    conditional sums over the same rows.
     """
     train, pairs = cut_lineage(train), cut_lineage(pairs)
     variants = [
@@ -175,17 +207,8 @@ def knn_sweep(train: DataFrame, pairs: DataFrame, gold: DataFrame, ks: tuple[int
     results = None
     for memory, pcc, cosine, kind in variants:
         ranked = cut_lineage(nearest_neighbours(train, max(ks), "user" if memory else "item", kind))
-        predict = knn_predict_user if memory else knn_predict_item
-        for weighted in (True, False):
-            for k in ks:
-                scored = predict(pairs, train, ranked.filter(F.col("place") <= k), weighted)
-                row = rmse(scored, gold).select(
-                    F.lit(memory).alias("memory"),
-                    F.lit(pcc).alias("pcc"),
-                    F.lit(weighted).alias("weighted"),
-                    F.lit(cosine).alias("cosine"),
-                    F.lit(k).alias("k"),
-                    "rmse",
-                )
-                results = row if results is None else results.unionByName(row)
+        found = _sweep_errors(pairs, gold, train, ranked, ks, memory).select(
+            F.lit(memory).alias("memory"), F.lit(pcc).alias("pcc"), "weighted", F.lit(cosine).alias("cosine"), "k", "rmse"
+        )
+        results = found if results is None else results.unionByName(found)
     return results

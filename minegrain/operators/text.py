@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from minegrain.functions.ordering import with_row_index
+
 from minegrain.runtime import broadcast_if_small
 
 # Characters and letter-digit mixes that cleaning removes, and the shape of a token.
@@ -46,10 +48,16 @@ def document_frequency(tf: DataFrame, term: str = "term") -> DataFrame:
 
 
 def _top_terms(stats: DataFrame, value: str, n: int, term: str) -> DataFrame:
-    """The n terms of largest value, numbered from 0 in that order; n bounds the one row that holds them for numbering."""
+    """The n terms of largest value, numbered from 0 in that order."""
     top = stats.orderBy(F.desc(value), term).limit(n)
-    ordered = top.agg(F.array_sort(F.collect_list(F.struct((-F.col(value)).alias("v"), F.col(term).alias("t")))).alias("a"))
-    return ordered.select(F.posexplode("a").alias("new_id", "entry")).select(F.col("entry.t").alias(term), "new_id")
+    numbered = with_row_index(top, [F.desc(value), F.col(term)], "new_id")
+    return numbered.select(term, F.col("new_id").cast("int"))
+
+
+def number_terms(tf: DataFrame, term: str = "term") -> DataFrame:
+    """(term, new_id): all terms, numbered from 0 by falling collection frequency."""
+    numbered = with_row_index(collection_frequency(tf, term), [F.desc("ctf"), F.col(term)], "new_id")
+    return numbered.select(term, F.col("new_id").cast("int"))
 
 
 def topn_terms_ctf(tf: DataFrame, n: int = 2000, term: str = "term") -> DataFrame:

@@ -20,7 +20,6 @@ from minegrain.runtime import cut_lineage
 BLOCK_ROWS = (512, 4096)
 TILE_CELLS = 500_000
 _CHUNK_PRODUCTS = 4_000_000
-_TINY = 1e-12
 
 
 def _place(m: DataFrame, block_rows: int | None, tile_cells: int) -> tuple[DataFrame, int, bool]:
@@ -87,11 +86,21 @@ def _multiply(ra, ca, va, rb, cb, vb) -> tuple[np.ndarray, np.ndarray, np.ndarra
     return ids_a[hit // shape[1]], ids_b[hit % shape[1]], total[hit]
 
 
-def _product_batches(symmetric: bool):
+def _lengths(rows: np.ndarray, vals: np.ndarray, of: np.ndarray) -> np.ndarray:
+    """Euclidean lengths of the rows `of` of a tile that holds all of their cells."""
+    ids, at = np.unique(rows, return_inverse=True)
+    return np.sqrt(np.bincount(at, weights=vals * vals))[np.searchsorted(ids, of)]
+
+
+def _product_batches(symmetric: bool, cosine: bool = False):
+    """Products of tile pairs; with `cosine`, of tiles that are not striped, divided by the lengths of both rows."""
+
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
             for t in pdf.itertuples(index=False):
                 left, right, value = _multiply(t.rows, t.inners, t.vals, t.rows_r, t.inners_r, t.vals_r)
+                if cosine:
+                    value = value / (_lengths(t.rows, t.vals, left) * _lengths(t.rows_r, t.vals_r, right))
                 if symmetric:
                     keep = left < right if t.block == t.block_r else np.ones(len(left), dtype=bool)
                     left, right, value = left[keep], right[keep], value[keep]
@@ -101,12 +110,12 @@ def _product_batches(symmetric: bool):
     return run
 
 
-def _best_batches(k: int, digits: int):
+def _best_batches(k: int, digits: int, cosine: bool):
     """From a symmetric tile pair: per row its k best positive and k best negative partners, and how many there were.
 
     A pair of rows meets in one tile pair only, so the best k of a row are among the best k of its tile pairs.
     """
-    products = _product_batches(True)
+    products = _product_batches(True, cosine)
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for cells in products(batches):
@@ -114,10 +123,8 @@ def _best_batches(k: int, digits: int):
             partner = np.concatenate([cells["right"], cells["left"]])
             value = np.tile(cells["value"].to_numpy(), 2)
             level = np.round(value, digits)
-            keep = level != 0
-            row, partner, value, level = row[keep], partner[keep], value[keep], level[keep]
-            order = np.lexsort((partner, -level, level < 0, row))
-            row, partner, value, negative = row[order], partner[order], value[order], (level < 0)[order]
+            order = np.lexsort((partner, -level, value < 0, row))
+            row, partner, value, negative = row[order], partner[order], value[order], (value < 0)[order]
             fresh = np.ones(len(row), dtype=bool)
             fresh[1:] = (row[1:] != row[:-1]) | (negative[1:] != negative[:-1])
             start = np.maximum.accumulate(np.where(fresh, np.arange(len(row)), 0))
@@ -140,8 +147,8 @@ def _best_batches(k: int, digits: int):
     return run
 
 
-def tiled_best(m: DataFrame, k: int, digits: int, block_rows: int | None = None) -> DataFrame | None:
-    """Candidates for the k nearest rows of a matrix (row, inner, value) by dot product, in one pass over its tiles.
+def tiled_best(m: DataFrame, k: int, digits: int, cosine: bool, block_rows: int | None = None) -> DataFrame | None:
+    """Candidates for the k nearest rows of a matrix (row, inner, value) by dot product or cosine, in one pass over its tiles.
 
     Rows (row, neighbour, sim) with counted = false, and rows with counted = true that carry the numbers n_pos, n_neg of
     partners by sign. None when a hot row forces stripes, where a pair's sum is spread over several tile pairs.
@@ -150,7 +157,7 @@ def tiled_best(m: DataFrame, k: int, digits: int, block_rows: int | None = None)
     if striped:
         return None
     schema = "row bigint, neighbour bigint, sim double, counted boolean, n_pos bigint, n_neg bigint"
-    return work.mapInPandas(_best_batches(k, digits), schema)
+    return work.mapInPandas(_best_batches(k, digits, cosine), schema)
 
 
 def tiled_product(
@@ -162,13 +169,13 @@ def tiled_product(
     """(left, right, value): sums over `inner` of left.value * right.value for frames (row, inner, value).
 
     Without a right side: the product of the matrix with its own transpose, each unordered pair of distinct rows once
-    (left < right).
+    (left < right). Only sums that are exactly 0 are left out.
     """
     work, striped = _tile_pairs(left, right, block_rows, tile_cells)
     cells = work.mapInPandas(_product_batches(right is None), "left bigint, right bigint, value double")
     if striped:  # otherwise each pair of rows comes from one tile pair and its sum is final
         cells = cells.groupBy("left", "right").agg(F.sum("value").alias("value"))
-    return cells.filter(F.abs("value") > _TINY)
+    return cells.filter("value <> 0")
 
 
 def _tile_pairs(

@@ -9,7 +9,7 @@ from minegrain.operators import clusters as cl
 from minegrain.operators import evaluate as ev
 from minegrain.operators import text as tx
 from minegrain.plans import inputs as inp
-from minegrain.plans.inputs import CELLS, DICTIONARY, r6, tokens_sql
+from minegrain.plans.inputs import CELLS, VOCABULARY, r6, tokens_sql
 from minegrain.plans.registry import query
 from minegrain.runtime import cut_lineage
 
@@ -120,14 +120,14 @@ def init_kmeanspp(spark, sf):
 
 
 def text_vectors(spark, sf):
-    """Documents over the dictionary of the most frequent terms: (tf, vocabulary)."""
+    """Documents over all terms: (tf, vocabulary)."""
     tf = cut_lineage(inp.tf(spark, sf))
-    dictionary = tx.topn_terms_ctf(tf, inp.DICTIONARY_SIZE)
+    dictionary = cut_lineage(tx.number_terms(tf))
     return tx.project_dictionary(tf, dictionary), dictionary.select("term", F.col("new_id").alias("term_id"))
 
 
 CENTROID_CELL = "((cluster * 7 + term_id * 3) % 11) / 10.0"
-CLASSIFY = f"""{DICTIONARY}, {tokens_sql("benchmark", "item_id", "bench")},
+CLASSIFY = f"""{VOCABULARY}, {tokens_sql("benchmark", "item_id", "bench")},
 bench_tf as (select doc_id, term, cast(count(*) as integer) as tf from bench group by 1, 2),
 n_bench as (select count(distinct doc_id) as n from bench),
 ptf as (select doc_id, new_id as term_id, tf from tf join dictionary using (term)),
@@ -137,7 +137,7 @@ weights as (
   from bench_tf b join dictionary d using (term) join pdf on pdf.term_id = d.new_id, n_bench where df <= n),
 norms as (select doc_id, sqrt(sum(weight * weight)) as norm from weights group by 1 having sum(weight * weight) > 0),
 given as (select cast(c as integer) as cluster, cast(t as integer) as term_id,
-          cast((c * 7 + t * 3) % 11 as double) / 10.0 as w from range(6) a(c), range({inp.DICTIONARY_SIZE}) b(t))"""
+          cast((c * 7 + t * 3) % 11 as double) / 10.0 as w from range(6) a(c), (select new_id as t from dictionary) b)"""
 
 
 @query(
@@ -159,5 +159,5 @@ def classify_unseen(spark, sf):
 @query("kmeans_sweep")
 def kmeans_sweep(spark, sf):
     tf, _ = text_vectors(spark, sf)
-    sweep = cl.kmeans_sweep(tf, inp.lang_gold(spark, sf), ks=[4, 8], repeats=1, max_iter=10)
+    sweep = cl.kmeans_sweep(tf, inp.lang_gold(spark, sf), ks=[25], repeats=1)
     return sweep.withColumn("f1", rounded("f1"))

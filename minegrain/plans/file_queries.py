@@ -9,7 +9,7 @@ from minegrain.operators import linear as ln
 from minegrain.operators import text as tx
 from minegrain.plans import inputs as inp
 from minegrain.plans.cluster_queries import GOLD, START, VECTORS, _assign, assign_cosine as assigned, text_vectors
-from minegrain.plans.inputs import DICTIONARY, DOC_TOPICS, EDGES, RATINGS, REVIEWS, ROWS, STATS, TRAIN, USER_TOPICS, r6
+from minegrain.plans.inputs import VOCABULARY, DOC_TOPICS, EDGES, RATINGS, REVIEWS, ROWS, STATS, TRAIN, USER_TOPICS, r6
 from minegrain.plans.linear_queries import CLASSES, GIVEN, given_model
 from minegrain.plans.rating_queries import SCORED
 from minegrain.plans.registry import query
@@ -32,7 +32,7 @@ def _written(spark, df, line, order=None):
 
 @query(
     "read_index_counts",
-    f"with {DICTIONARY} select new_id as term_id, df as count from dictionary join df using (term)",
+    f"with {VOCABULARY} select new_id as term_id, df as count from dictionary join df using (term)",
 )
 def read_index_counts(spark, sf):
     train, _ = text_vectors(spark, sf)
@@ -40,7 +40,7 @@ def read_index_counts(spark, sf):
     return rd.read_index_counts(spark, _written(spark, df, _joined("term_id", "df", sep=":")))
 
 
-@query("read_vocab", f"with {DICTIONARY} select term, new_id as term_id from dictionary")
+@query("read_vocab", f"with {VOCABULARY} select term, new_id as term_id from dictionary")
 def read_vocab(spark, sf):
     _, vocab = text_vectors(spark, sf)
     return rd.read_vocab(spark, _written(spark, vocab, _joined("term", "term_id")))
@@ -48,7 +48,7 @@ def read_vocab(spark, sf):
 
 @query(
     "read_doc_vectors",
-    f"""with {DICTIONARY}, nth as (select doc_id, row_number() over (order by doc_id) - 1 as line from documents)
+    f"""with {VOCABULARY}, nth as (select doc_id, row_number() over (order by doc_id) - 1 as line from documents)
     select line as doc_id, new_id as term_id, tf from tf join dictionary using (term) join nth using (doc_id)""",
 )
 def read_doc_vectors(spark, sf):
@@ -198,7 +198,7 @@ def _sparse_rows(spark, sf):
     return tx.feature_rows(tf, inp.lang_gold(spark, sf).withColumn("label", english))
 
 
-LIBSVM = f"""with {DICTIONARY}, nth as (
+LIBSVM = f"""with {VOCABULARY}, nth as (
       select doc_id, lang, row_number() over (order by doc_id) - 1 as line from documents)
     select line as row_id, case when lang = 'en' then 1.0 else -1.0 end as label, new_id + 1 as feature, cast(tf as double) as value
     from tf join dictionary using (term) join nth using (doc_id)"""
@@ -271,7 +271,7 @@ def write_hard_soft(spark, sf):
 
 @query(
     "write_libsvm",
-    f"""with {DICTIONARY},
+    f"""with {VOCABULARY},
     v as (select doc_id, string_agg((new_id + 1) || ':' || tf || '.0', ' ' order by new_id) as v from tf join dictionary using (term) group by 1)
     select row_number() over (order by doc_id) - 1 as line,
       case when lang = 'en' then '1' else '-1' end || coalesce(' ' || v, '') as value from documents left join v using (doc_id)""",

@@ -6,7 +6,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
-from minegrain.functions.ordering import with_row_index
 from minegrain.operators import text as tx
 from minegrain.runtime import cut_lineage
 
@@ -96,15 +95,14 @@ scored as (
 run as (
   select user_id, query_id, doc_id, score,
          cast(row_number() over (partition by user_id, query_id order by round(score, 9) desc, doc_id) as integer) as rank
-  from scored qualify rank <= 500)"""
+  from scored)"""
 
 
 def edges(spark: SparkSession, sf: str) -> DataFrame:
-    """Links between consecutive parts of an order; positions of a global sort, so that a huge order is not one task."""
+    """Links between consecutive parts of an order. An order has few lines (a key of the table), so a window is enough."""
     lines = table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", F.col("l_partkey").alias("src"))
-    placed = with_row_index(lines, ["l_orderkey", "l_linenumber", "src"], "at").drop("l_linenumber")
-    after = placed.select("l_orderkey", (F.col("at") - 1).alias("at"), F.col("src").alias("dst"))
-    hops = placed.join(after, ["at", "l_orderkey"]).filter("src <> dst")
+    after = F.lead("src").over(W.partitionBy("l_orderkey").orderBy("l_linenumber", "src"))
+    hops = lines.select("src", after.alias("dst")).filter("dst is not null and src <> dst")
     return hops.groupBy("src", "dst").agg(F.count(F.lit(1)).cast("double").alias("weight"))
 
 
@@ -155,7 +153,7 @@ def run(lines: DataFrame) -> DataFrame:
         "user_id", "query_id", "doc_id", F.ln(F.col("amount") / F.col("total")).alias("score")
     )
     order = W.partitionBy("user_id", "query_id").orderBy(F.desc(F.round("score", 9)), "doc_id")
-    return scored.withColumn("rank", F.row_number().over(order)).filter("rank <= 500")
+    return scored.withColumn("rank", F.row_number().over(order))
 
 
 # --- text --------------------------------------------------------------------------------------------------------
@@ -179,11 +177,11 @@ STATS = TF + """,
 ctf as (select term, cast(sum(tf) as bigint) as ctf from tf group by 1),
 df as (select term, count(*) as df from tf group by 1),
 n_docs as (select count(*) as n from documents)"""
+VOCABULARY = STATS + """,
+dictionary as (select term, cast(row_number() over (order by ctf desc, term) - 1 as integer) as new_id from ctf)"""
+# Only for the operators whose feature is a cut at the most frequent terms.
 DICTIONARY_SIZE = 300
-DICTIONARY = STATS + f""",
-dictionary as (
-  select term, cast(row_number() over (order by ctf desc, term) - 1 as integer) as new_id from ctf
-  qualify new_id < {DICTIONARY_SIZE})"""
+DICTIONARY = VOCABULARY[:-1] + f" qualify new_id < {DICTIONARY_SIZE})"
 
 
 def documents(spark: SparkSession, sf: str) -> DataFrame:

@@ -94,13 +94,14 @@ def sparse_matmul(spark, sf):
 
 # --- similarities ------------------------------------------------------------------------------------------------
 
-def _sim(ratings: str, row: str, inner: str, cosine: bool, centred: str = "rating - 3.0") -> str:
-    """CTE chain ending in sim(a, b, sim) over non-zero pairs a < b."""
+def _sim(ratings: str, row: str, inner: str, cosine: bool, centred: str = "rating - 3.0", noisy: bool = False) -> str:
+    """CTE chain ending in sim(a, b, sim) over non-zero pairs a < b; `noisy` leaves out what rounding alone may make."""
     norm = f"sqrt(sum(v * v) over (partition by {row}))" if cosine else "1.0"
+    floor = "abs(sum(a.v * b.v) / (any_value(a.n) * any_value(b.n))) > 1e-12" if noisy else "sum(a.v * b.v) <> 0"
     return f"""c as (select user_id, item_id, {centred} as v from {ratings}),
-    m as (select {row} as r, {inner} as i, v / {norm} as v from c where v <> 0),
-    sim as (select a.r as a, b.r as b, sum(a.v * b.v) as sim from m a join m b on a.i = b.i and a.r < b.r
-            group by 1, 2 having abs(sum(a.v * b.v)) > 1e-12)"""
+    m as (select {row} as r, {inner} as i, v, {norm} as n from c where v <> 0),
+    sim as (select a.r as a, b.r as b, sum(a.v * b.v) / (any_value(a.n) * any_value(b.n)) as sim
+            from m a join m b on a.i = b.i and a.r < b.r group by 1, 2 having {floor})"""
 
 
 _MEAN = "rating - avg(rating) over (partition by user_id)"
@@ -109,14 +110,17 @@ _SIMILARITIES = {
     "user_similarity_cosine": ("u", nb.user_similarity_cosine, _sim("ratings", "user_id", "item_id", True)),
     "item_similarity_dot": ("i", nb.item_similarity_dot, _sim("ratings", "item_id", "user_id", False)),
     "item_similarity_cosine": ("i", nb.item_similarity_cosine, _sim("ratings", "item_id", "user_id", True)),
-    "item_similarity_pcc": ("i", nb.item_similarity_pcc, _sim("ratings", "item_id", "user_id", True, _MEAN)),
+    "item_similarity_pcc": ("i", nb.item_similarity_pcc, _sim("ratings", "item_id", "user_id", True, _MEAN, True)),
 }
 
 
 def _register_similarity(name, side, operator, sim):
     @query(name, f"with {RATINGS}, {sim} select a as {side}1, b as {side}2, {r6('sim')} as sim from sim")
     def run(spark, sf):
-        return operator(inp.ratings(spark, sf)).withColumn("sim", rounded("sim"))
+        found = operator(inp.ratings(spark, sf))
+        # Means are not exact, so both engines leave out the pairs whose sum may be rounding noise, here and in the SQL.
+        found = found.filter(F.abs("sim") > 1e-12) if operator is nb.item_similarity_pcc else found
+        return found.withColumn("sim", rounded("sim"))
 
 
 for _name, (_side, _operator, _text) in _SIMILARITIES.items():
@@ -127,7 +131,7 @@ for _name, (_side, _operator, _text) in _SIMILARITIES.items():
 # Neighbours are ranked by the similarity to 9 digits, so that ties fall the same way in both engines.
 
 def _neighbours(k: int, ids: str) -> str:
-    return f"""rs as (select a, b, sim, round(sim, 9) as level from sim where round(sim, 9) <> 0),
+    return f"""rs as (select a, b, sim, round(sim, 9) as level from sim),
     both_ways as (select a as row, b as neighbour, sim, level from rs union all select b, a, sim, level from rs),
     n_ids as (select count(distinct {ids}) as n from train),
     signed as (
@@ -142,10 +146,6 @@ USER_SIM, ITEM_SIM = _sim("train", "user_id", "item_id", True), _sim("train", "i
 USER_TOP, ITEM_TOP = _neighbours(20, "user_id"), _neighbours(20, "item_id")
 
 
-def _top(sim, train, ids, k=20):
-    return nb.topk_neighbours(sim, train.select(ids).distinct().count(), k)
-
-
 def _train(spark, sf):
     return cut_lineage(inp.train(spark, sf))
 
@@ -155,8 +155,7 @@ def _train(spark, sf):
     f"with {TRAIN}, {ITEM_SIM}, {ITEM_TOP} select row, neighbour, {r6('sim')} as sim, place from top",
 )
 def topk_neighbours(spark, sf):
-    train = _train(spark, sf)
-    top = _top(nb.item_similarity_cosine(train), train, "item_id")
+    top = nb.nearest_neighbours(_train(spark, sf), 20, "item", "cosine")
     return top.withColumn("sim", rounded("sim"))
 
 
@@ -195,7 +194,7 @@ def _sweep_sql() -> str:
     for memory, pcc, cosine in ((True, False, True), (True, False, False), (False, False, True), (False, False, False), (False, True, True)):
         row, inner = ("user_id", "item_id") if memory else ("item_id", "user_id")
         tag = f"{int(memory)}{int(pcc)}{int(cosine)}"
-        part = _sim("train", row, inner, cosine, _MEAN if pcc else "rating - 3.0") + ", " + _neighbours(20, row)
+        part = _sim("train", row, inner, cosine, _MEAN if pcc else "rating - 3.0") + ", " + _neighbours(500, row)
         names = ("c", "m", "sim", "rs", "both_ways", "n_ids", "signed", "placed", "top")
         for n in names:
             part = part.replace(f"{n} as (", f"{n}_{tag} as (").replace(f"from {n} ", f"from {n}_{tag} ").replace(f"from {n},", f"from {n}_{tag},")
@@ -203,7 +202,7 @@ def _sweep_sql() -> str:
         part = part.replace(f"top_{tag} as (", f"top_{tag} as materialized (")
         chains.append(part)
         for weighted in (True, False):
-            for k in (5, 20):
+            for k in (10, 100, 500):
                 w = "sim" if weighted else "1.0"
                 rows.append(
                     f"""select {memory} as memory, {pcc} as pcc, {weighted} as weighted, {cosine} as cosine, {k} as k,
@@ -219,7 +218,7 @@ def _sweep_sql() -> str:
 @query("knn_sweep", _sweep_sql())
 def knn_sweep(spark, sf):
     pairs = cut_lineage(inp.pairs(spark, sf))
-    sweep = nb.knn_sweep(inp.train(spark, sf), pairs, pairs.select("pair_id", "gold"), ks=(5, 20))
+    sweep = nb.knn_sweep(inp.train(spark, sf), pairs, pairs.select("pair_id", "gold"))
     return sweep.withColumn("rmse", rounded("rmse", 4))
 
 

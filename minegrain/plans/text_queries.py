@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from minegrain.functions.vectors import rounded
 from minegrain.operators import text as tx
 from minegrain.plans import inputs as inp
-from minegrain.plans.inputs import DICTIONARY, STATS, TF, TOKENS, clean_sql, r6, tokens_sql
+from minegrain.plans.inputs import DICTIONARY, STATS, TF, TOKENS, VOCABULARY, clean_sql, r6, tokens_sql
 from minegrain.plans.registry import query
 from minegrain.runtime import cut_lineage
 
@@ -116,7 +116,7 @@ def project_dictionary(spark, sf):
     return tx.project_dictionary(tf, tx.topn_terms_ctf(tf, inp.DICTIONARY_SIZE))
 
 
-_REMAP = f"""{DICTIONARY}, {tokens_sql("benchmark", "item_id", "bench")},
+_REMAP = f"""{VOCABULARY}, {tokens_sql("benchmark", "item_id", "bench")},
     bench_tf as (select doc_id, term, cast(count(*) as integer) as tf from bench group by 1, 2)"""
 
 
@@ -128,6 +128,6 @@ def remap_vocabulary(spark, sf):
     """Benchmark texts as the test split under their own term ids (a hash of the word), documents as the train split."""
     test = tx.term_frequency(inp.benchmark_tokens(spark, sf)).withColumn("term_id", F.xxhash64("term"))
     vocab_test = test.select("term", "term_id").distinct()
-    train = tx.topn_terms_ctf(inp.tf(spark, sf), inp.DICTIONARY_SIZE)
+    train = tx.number_terms(cut_lineage(inp.tf(spark, sf)))
     vocab_train = train.select("term", F.col("new_id").alias("term_id"))
     return tx.remap_vocabulary(test.select("doc_id", "term_id", "tf"), vocab_test, vocab_train)
