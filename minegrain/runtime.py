@@ -10,8 +10,8 @@ from pyspark.sql import functions as F
 
 # Largest model state (cells of a weight or centroid matrix) that may live on the driver.
 MAX_DRIVER_CELLS = 20_000_000
-# Most rows of a narrow table that are sent to every executor.
-BROADCAST_ROWS = 1_000_000
+# Most bytes of a table that are sent to every executor.
+BROADCAST_BYTES = 32_000_000
 
 
 def local_session(cores: str = "8", app: str = "minegrain", **conf: str) -> SparkSession:
@@ -58,13 +58,19 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
-def broadcast_if_small(df: DataFrame, limit: int = BROADCAST_ROWS) -> DataFrame:
-    """`df` materialised and counted: marked for broadcast up to `limit` rows, else left to a shuffle join.
+def broadcast_if_small(df: DataFrame, limit: int = BROADCAST_BYTES) -> DataFrame:
+    """`df` materialised and measured: marked for broadcast up to `limit` bytes, else left to a shuffle join.
 
-    The counted side must be narrow (a key and a number or two). Beyond the limit, adaptive skew handling splits hot keys.
+    Numbers count 8 bytes each and strings and binaries their length. Beyond the limit, adaptive skew handling splits hot
+    keys.
     """
     stored = cut_lineage(df)
-    return F.broadcast(stored) if stored.count() <= limit else stored
+    texts = [c for c, kind in stored.dtypes if kind in ("string", "binary")]
+    width = F.lit(8 * len(stored.columns) + 8)
+    for c in texts:
+        width = width + F.coalesce(F.octet_length(c), F.lit(0))
+    size = stored.agg(F.sum(width.cast("long"))).first()[0] or 0
+    return F.broadcast(stored) if size <= limit else stored
 
 
 def check_driver_cells(cells: int, what: str) -> None:

@@ -33,7 +33,9 @@ def read_lines(spark: SparkSession, path: str) -> DataFrame:
     splits = lines.groupBy("__file", "__block").agg(
         F.count(F.lit(1)).alias("__n"), F.min("__mid").alias("__first")
     )
-    before = W.orderBy("__file", "__block").rowsBetween(W.unboundedPreceding, -1)
+    # Part files follow the number in their name, which has more than five digits from 100,000 files on.
+    number = F.coalesce(F.try_to_number(F.regexp_extract("__file", r"part-(\d+)[^/]*$", 1), F.lit("9" * 18)), F.lit(0))
+    before = W.orderBy(number, "__file", "__block").rowsBetween(W.unboundedPreceding, -1)
     starts = splits.select(
         "__file", "__block", "__first", F.coalesce(F.sum("__n").over(before), F.lit(0)).alias("__start")
     )
