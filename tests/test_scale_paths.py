@@ -202,3 +202,56 @@ def test_rank_svm_equals_training_on_pair_rows(spark, monkeypatch):
     np.testing.assert_allclose(lt.rank_svm_weights(ratings, users, items, C=0.05), direct, atol=1e-5)
     monkeypatch.setattr(lt, "GRID_CHUNK", 4)
     np.testing.assert_allclose(lt.rank_svm_weights(ratings, users, items, C=0.05), direct, atol=1e-5)
+
+
+def test_small_products_stay(spark):
+    from minegrain.operators.matrix import sparse_matmul
+
+    a = spark.createDataFrame([(1, 1, 1e-7), (2, 1, 1e-7), (3, 2, 2.0), (3, 3, 1.0)], "row long, col long, value double")
+    b = spark.createDataFrame([(1, 1, 1e-7), (2, 1, 1.0), (3, 1, -2.0)], "row long, col long, value double")
+    found = {(r.row, r.col): r.value for r in sparse_matmul(a, b).collect()}
+    assert found == {(1, 1): pytest.approx(1e-14), (2, 1): pytest.approx(1e-14)}  # exact zeros alone are left out
+
+
+def test_gaps_in_cluster_ids_and_large_term_ids(spark):
+    big = 10**15
+    vectors = spark.createDataFrame([(10, -7, -1.0), (10, big, 0.5), (11, -7, 1.0)], "doc_id long, term_id long, weight double")
+    centroids = spark.createDataFrame([(3, -7, 1.0), (5, -7, 0.5), (5, big, 1.0)], "cluster int, term_id long, w double")
+    packed = {r.doc_id: r.cluster for r in cl.assign_cosine(vectors, centroids).collect()}
+    assert packed == {10: 5, 11: 3}
+    assert {r.doc_id: r.cluster for r in cl._assign_joined(vectors, centroids).collect()} == packed
+    fitted, assign, _ = cl.kmeans_fit(vectors, 2, centroids)
+    assert {r.doc_id: r.cluster for r in assign.collect()} == packed
+    assert {r.term_id for r in fitted.collect()} == {-7, big}
+
+
+@pytest.mark.parametrize("fraction", [0.2, 3.0, 40.0])
+def test_holdout_draws_are_not_cut(spark, fraction):
+    from minegrain.operators.sampling import holdout_split
+
+    rows = spark.range(4000).withColumnRenamed("id", "row_id")
+    train, drawn = holdout_split(rows, fraction, seed=1)
+    counts = drawn.groupBy("row_id").count().toPandas()["count"]
+    total = counts.sum() / 4000
+    assert abs(total - fraction) < 5 * (fraction / 4000) ** 0.5
+    assert train.count() + len(counts) == 4000
+    if fraction >= 3:
+        assert counts.max() > 6
+
+
+def test_walk_without_convergence_is_an_error(spark):
+    from minegrain.operators import graph as g
+
+    edges = spark.createDataFrame([(1, 2, 1.0), (2, 3, 1.0), (3, 1, 1.0), (1, 3, 1.0)], "src long, dst long, weight double")
+    with pytest.raises(RuntimeError):
+        g.pagerank(edges, tol=1e-9, min_iter=1, max_iter=2)
+    assert g.pagerank(edges, tol=1e-9, min_iter=1).count() == 3
+
+
+def test_lines_of_many_part_files_stay_in_order(spark, tmp_path):
+    from minegrain.sources.readers import read_lines
+
+    for i in (99_999, 100_000, 100_001):
+        (tmp_path / f"part-{i:05d}-x.txt").write_text(f"{i}\n")
+    lines = read_lines(spark, str(tmp_path)).orderBy("line_no").collect()
+    assert [r.value for r in lines] == ["99999", "100000", "100001"]
