@@ -111,14 +111,39 @@ def cluster_macro_f1(spark, sf):
     return ev.cluster_macro_f1(kmeans_fit(spark, sf), _gold(spark, sf)).select(rounded("macro_f1").alias("macro_f1"))
 
 
-@query("init_random_centroids")
+@query(
+    "init_random_centroids",
+    f"""with {VOCABULARY} select cast(c as integer) as cluster, new_id as term_id, {inp.uniform_sql(3, 'c', 'new_id')} as w
+    from dictionary, range({K}) r(c)""",
+)
 def init_random_centroids(spark, sf):
-    """Over all terms of the documents, a hash of the term being its id."""
-    vocab = inp.tokens(spark, sf).select(F.xxhash64("term").alias("term_id")).distinct()
+    """Over all terms of the documents."""
+    _, vocab = text_vectors(spark, sf)
     return cl.init_random_centroids(vocab, K, seed=3)
 
 
-@query("init_kmeanspp")
+def _seeding_sql(k: int, seed: int) -> str:
+    parts = [VECTORS]
+    for s in range(k):
+        weight = "select doc_id, 1.0 as w from norms"
+        if s:
+            every = " union all ".join(f"select * from d{i}" for i in range(s))
+            weight = f"select doc_id, 1.0 - max(sim) as w from ({every}) group by 1 having 1.0 - max(sim) > 1e-9"
+        parts.append(
+            f"""p{s} as materialized (select doc_id from ({weight})
+            order by -ln({inp.uniform_sql(seed, str(s), 'doc_id')}) / w, doc_id limit 1),
+            d{s} as materialized (
+              select v.doc_id, round(sum(v.weight * c.weight) / max(n.norm) / max(m.norm), 10) as sim
+              from vectors v join vectors c using (term_id) join p{s} on c.doc_id = p{s}.doc_id
+              join norms n on n.doc_id = v.doc_id join norms m on m.doc_id = c.doc_id group by 1)"""
+        )
+    cells = " union all ".join(
+        f"select {s} as cluster, term_id, weight as w from vectors join p{s} using (doc_id)" for s in range(k)
+    )
+    return f"with {', '.join(parts)} {cells}"
+
+
+@query("init_kmeanspp", _seeding_sql(K, 3))
 def init_kmeanspp(spark, sf):
     return cl.init_kmeanspp(vectors(spark, sf), K, seed=3)
 

@@ -248,5 +248,10 @@ REVIEWS = """reviews as (select cast(doc_id as varchar) as review_id, text, cast
   from documents join labels using (doc_id))"""
 
 
+def uniform_sql(seed: int, *keys: str) -> str:
+    text = " || '|' || ".join(f"cast({k} as varchar)" for k in (str(seed), *keys))
+    return f"((cast('0x' || substr(md5({text}), 1, 10) as bigint) + 0.5) / 1099511627776.0)"
+
+
 def r6(expr: str, digits: int = 6) -> str:
     return f"round({expr}, {digits}) + 0.0"

@@ -311,7 +311,15 @@ def search_c(spark, sf):
 
 # --- splits ------------------------------------------------------------------------------------------------------
 
-@query("holdout_split")
+_TAILS = " + ".join(f"cast(u < {t!r} as integer)" for t in sm.poisson_tails(0.2))
+
+
+@query(
+    "holdout_split",
+    f"""with {inp.ROWS}, drawn as (select row_id, {_TAILS} as n from (select row_id, {inp.uniform_sql(5, 'row_id')} as u from rows))
+    select row_id, 'train' as part from drawn where n = 0
+    union all select row_id, 'validation' as part from (select row_id, unnest(range(n)) from drawn where n > 0)""",
+)
 def holdout_split(spark, sf):
     train, validation = sm.holdout_split(inp.rows(spark, sf), 0.2, seed=5)
     return train.select("row_id", F.lit("train").alias("part")).unionByName(
@@ -328,6 +336,11 @@ def minibatches(spark, sf):
     return sm.minibatches(inp.rows(spark, sf), 32).select("row_id", "batch_id")
 
 
-@query("cv_folds")
+@query(
+    "cv_folds",
+    f"""with {inp.ROWS}, placed as (
+      select row_id, row_number() over (order by md5('1|' || row_id), row_id) - 1 as i, count(*) over () as n from rows)
+    select row_id, cast(((i + 1) * 7 - 1) // n as integer) as fold from placed""",
+)
 def cv_folds(spark, sf):
     return sm.cv_folds(inp.rows(spark, sf), 7, seed=1).select("row_id", "fold")
