@@ -9,10 +9,9 @@ import numpy as np
 import pandas as pd
 import xxhash
 from pyspark.sql import DataFrame
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from minegrain.llm.common import connected_components, fresh, stored
+from minegrain.llm.common import connected_components, fresh, row_key, stored
 
 BITS = 64
 # Rows of one trie forest; the number of forests follows the number of fingerprints.
@@ -242,25 +241,23 @@ def simhash_components(
 def keep_one_per_component(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = 4, budget: int = 4
 ) -> DataFrame:
-    """`docs` with one row of each component: that with the smallest id, of rows that share it the first by text.
+    """`docs` with one row of each component: that with the smallest id; of rows that share it, one by the hash of its text.
 
-    Rows without an id stay only if their whole component has none, and then one of them. All columns stay.
+    Rows without an id stay only if their whole component has none, and then one of them. All columns stay. Fingerprints
+    travel with a key of id and text, and only the rows' keys are compared; equal rows are told apart at the end.
     """
-    fp, low = fresh(docs, "__fp"), fresh(docs, "__low")
-
-    @F.pandas_udf("long")
-    def mark(texts: pd.Series) -> pd.Series:
-        return pd.Series(np.array([fingerprint(t, words) for t in texts], np.uint64).view(np.int64))
-
-    marked = stored(with_fingerprints(docs, id_col, text_col, words).withColumnRenamed(id_col, "__id"), "fingerprints")
-    first = fingerprint_components(marked, budget).select(
-        F.col("fp").alias(fp), F.coalesce(F.col("component_id").cast("string"), F.lit("")).alias(low), "root"
+    key = fresh(docs, "__key")
+    keyed = docs.withColumn(key, F.base64(row_key(id_col, text_col)))
+    width = 24  # characters of a key
+    named = keyed.select(F.concat(key, F.coalesce(F.col(id_col).cast("string"), F.lit(""))).alias("both"), F.col(text_col).alias("t"))
+    marked = with_fingerprints(named, "both", "t", words)
+    name = F.substring("both", width + 1, 64)
+    marked = marked.select(
+        F.substring("both", 1, width).alias("key"),
+        F.when(name != "", name).cast(docs.schema[id_col].dataType).alias("__id"),
+        "fp",
     )
-    rows = docs.withColumn(fp, mark(F.col(text_col).cast("string")))
-    rows = rows.withColumn(low, F.coalesce(F.col(id_col).cast("string"), F.lit("")))
-    # Only rows with the id that names their component meet a row here, so copies pile up in no task.
-    root = fresh(docs, "__root")
-    kept = rows.join(first.withColumnRenamed("root", root), [fp, low])
-    place = fresh(docs, "__place")
-    order = W.partitionBy(root).orderBy(F.col(id_col), F.col(text_col), F.col(fp))
-    return kept.withColumn(place, F.row_number().over(order)).filter(F.col(place) == 1).select(*docs.columns)
+    marked = stored(marked, "fingerprints")
+    found = marked.join(fingerprint_components(marked, budget), "fp").filter(F.col("__id").eqNullSafe(F.col("component_id")))
+    first = found.groupBy("root").agg(F.min("key").alias(key)).select(key)
+    return keyed.join(first, key).dropDuplicates([key]).select(*docs.columns)
