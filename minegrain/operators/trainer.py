@@ -45,21 +45,53 @@ def add_up(rows: DataFrame, partial: Callable[[Iterator[pd.DataFrame]], np.ndarr
     return np.concatenate([np.asarray(c["v"]) for c in sorted(chunks, key=lambda c: c["chunk"])])
 
 
-def design(pdf: pd.DataFrame, n_features: int, bias: float) -> np.ndarray:
-    """Dense rows of one lot from `features` or from 1-based `indices` and `values`; features beyond the model are ignored."""
+class SparseRows:
+    """Rows of a lot as the cells they have. Stands on the left of `@` for scores and on the right for gradients."""
+
+    __array_ufunc__ = None  # so that numpy hands a @ rows over
+
+    def __init__(self, row: np.ndarray, column: np.ndarray, value: np.ndarray, shape: tuple[int, int]) -> None:
+        self.row, self.column, self.value, self.shape = row, column, value, shape
+
+    def __matmul__(self, w: np.ndarray) -> np.ndarray:
+        n = self.shape[0]
+        return np.stack([np.bincount(self.row, self.value * c[self.column], n) for c in w.T], axis=1)
+
+    def __rmatmul__(self, a: np.ndarray) -> np.ndarray:
+        width = self.shape[1]
+        return np.stack([np.bincount(self.column, self.value * r[self.row], width) for r in a])
+
+    def dense(self) -> np.ndarray:
+        x = np.zeros(self.shape)
+        np.add.at(x, (self.row, self.column), self.value)
+        return x
+
+
+def design(pdf: pd.DataFrame, n_features: int, bias: float, dense: bool = False) -> np.ndarray | SparseRows:
+    """The rows of one lot; features beyond the model are ignored.
+
+    Rows with `features` are a dense matrix. Rows with 1-based `indices` and `values` stay sparse unless `dense` is asked
+    for, as curvatures do, which only narrow models have.
+    """
     width = n_features + (bias >= 0)
-    x = np.zeros((len(pdf), width))
     if "features" in pdf:
+        x = np.zeros((len(pdf), width))
         for i, f in enumerate(pdf["features"]):
             x[i, : min(len(f), n_features)] = f[:n_features]
-    else:
-        for i, (index, value) in enumerate(zip(pdf["indices"], pdf["values"])):
-            index, value = np.asarray(index, dtype=np.int64), np.asarray(value, dtype=float)
-            inside = index <= n_features
-            x[i, index[inside] - 1] = value[inside]
+        if bias >= 0:
+            x[:, n_features] = bias
+        return x
+    row = np.repeat(np.arange(len(pdf)), pdf["indices"].map(len).to_numpy(np.int64))
+    column = np.concatenate([np.zeros(0, np.int64), *[np.asarray(i, np.int64) for i in pdf["indices"]]]) - 1
+    value = np.concatenate([np.zeros(0), *[np.asarray(v, float) for v in pdf["values"]]])
+    inside = column < n_features
+    row, column, value = row[inside], column[inside], value[inside]
     if bias >= 0:
-        x[:, n_features] = bias
-    return x
+        row = np.concatenate([row, np.arange(len(pdf))])
+        column = np.concatenate([column, np.full(len(pdf), n_features)])
+        value = np.concatenate([value, np.full(len(pdf), float(bias))])
+    x = SparseRows(row, column, value, (len(pdf), width))
+    return x.dense() if dense else x
 
 
 def lots(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -141,7 +173,7 @@ class Problem:
             value, grad = np.zeros(m), np.zeros((m, width))
             hess = np.zeros((m, width, width)) if curvature else None
             for pdf in lots(batches):
-                x, label = design(pdf, n_features, bias), pdf["label"].to_numpy()[:, None]
+                x, label = design(pdf, n_features, bias, curvature), pdf["label"].to_numpy()[:, None]
                 if loss in REGRESSION:
                     y, c = np.broadcast_to(label, (len(pdf), m)), np.broadcast_to(cost, (len(pdf), m))
                 else:
@@ -199,7 +231,7 @@ class JointProblem:
             value, grad = np.zeros(g), np.zeros((g, k, f))
             hess = np.zeros((g, k, f, k, f)) if curvature else None
             for pdf in lots(batches):
-                x = design(pdf, n_features, bias)
+                x = design(pdf, n_features, bias, curvature)
                 own = np.searchsorted(labels, pdf["label"].to_numpy())
                 n = np.arange(len(pdf))
                 for j in range(g):

@@ -33,6 +33,19 @@ def write_trec_run(run: DataFrame, path: str, method: str = "score", tag: str =
     write_lines(run, line, path)
 
 
+def write_trec_runs(runs: DataFrame, path: str, rank: str = "new_rank", score: str = "fused", tag: str = "run-1") -> None:
+    """Runs of all methods in one pass, each in a folder method=<name> below `path`."""
+    line = F.format_string(
+        f"%d-%d Q0 %d %d %.6f {tag}",
+        F.col("user_id").cast("bigint"),
+        F.col("query_id").cast("bigint"),
+        F.col("doc_id").cast("bigint"),
+        F.col(rank).cast("int"),
+        F.col(score),
+    )
+    runs.select("method", line.alias("value")).write.partitionBy("method").text(path)
+
+
 def write_predictions(scored: DataFrame, path: str, value: str = "pred") -> None:
     write_lines(scored, F.col(value), path, ["pair_id"])
 

@@ -307,3 +307,38 @@ def test_run_file_names(spark, tmp_path):
     (tmp_path / "2-1.results.txt").write_text("0 Q0 15 1 -3.5 run\n0 Q0 16 2 -4.5 run\n")
     out = [tuple(r) for r in rd.read_run_files(spark, str(tmp_path)).orderBy("rank").collect()]
     assert out == [(2, 1, 15, 1, -3.5), (2, 1, 16, 2, -4.5)]
+
+
+def sparse(spark, cells, labels):
+    """Rows (row_id, label, indices, values), indices from 1."""
+    rows = [(i, float(labels[i]), [int(c) + 1 for c in index], [float(v) for v in value]) for i, (index, value) in enumerate(cells)]
+    return spark.createDataFrame(rows, "row_id long, label double, indices array<int>, values array<double>")
+
+
+def test_sparse_rows_equal_dense_rows(spark):
+    rng = np.random.default_rng(8)
+    x = np.where(rng.random((120, 15)) < 0.3, rng.normal(size=(120, 15)), 0.0)
+    y = np.where(x @ rng.normal(size=15) > 0, 1.0, -1.0)
+    thin = sparse(spark, [(np.flatnonzero(r), r[np.flatnonzero(r)]) for r in x], y)
+    dense = spark.createDataFrame([(i, float(y[i]), x[i].tolist()) for i in range(120)], "row_id long, label double, features array<double>")
+    for fit in (ln.linear_l2_squared_hinge, ln.linear_l2_hinge):
+        a, b = fit(thin, bias=1.0, eps=1e-4), fit(dense, bias=1.0, eps=1e-4)
+        np.testing.assert_allclose(a.weights, b.weights, atol=1e-6)
+        one = {r.row_id: r.value for r in ln.decision_values(thin, a).collect()}
+        two = {r.row_id: r.value for r in ln.decision_values(dense, b).collect()}
+        assert one == {k: pytest.approx(v, abs=1e-5) for k, v in two.items()}
+
+
+def test_a_million_features_stay_sparse(spark):
+    rng = np.random.default_rng(9)
+    width, n = 1_000_000, 4000
+    y = np.where(rng.random(n) < 0.5, 1.0, -1.0)
+    cells = [
+        (np.unique(np.append(rng.integers(10, width - 1, 6), [0 if y[i] > 0 else 1] + ([width - 1] if i == 0 else []))),) for i in range(n)
+    ]
+    cells = [(c[0], np.ones(len(c[0]))) for c in cells]
+    rows = sparse(spark, cells, y)
+    model = ln.linear_l2_squared_hinge(rows)
+    assert model.n_features == width
+    hits = ln.predict_label(rows, model).filter("pred = label").count()
+    assert hits > 0.99 * n

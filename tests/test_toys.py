@@ -11,6 +11,7 @@ from minegrain.operators import evaluate as ev
 from minegrain.operators import graph as g
 from minegrain.operators import neighbours as nb
 from minegrain.operators import text as tx
+from minegrain.sources import writers as wr
 
 
 def frame(spark, rows, schema):
@@ -94,3 +95,25 @@ def test_cleaning(spark):
     assert tx.clean_text(text).first()[0] == "its  n endof line"
     tokens = tx.tokenize(text.withColumn("doc_id", F.lit(1)).transform(tx.clean_text))
     assert sorted(r.term for r in tokens.collect()) == ["endof", "its", "line"]
+
+
+def test_vertices_without_links_and_repeated_links(spark):
+    edges = spark.createDataFrame([(1, 3, 1.0, 0), (1, 3, 5.0, 1)], "src long, dst long, weight double, line_no long")
+    links = g.transition_matrix(g.last_links(edges, "line_no"), g.dense_vertices(edges))
+    assert {(r.src, r.dst): r.p for r in links.collect()} == {
+        (1, 1): pytest.approx(1 / 6),
+        (1, 3): pytest.approx(5 / 6),
+        (2, 2): 1.0,
+        (3, 3): 1.0,
+    }
+
+
+def test_all_fused_runs_in_one_call(spark, tmp_path):
+    run = spark.createDataFrame(
+        [(1, 1, 7, 1, -1.0, 0.2, 0.5), (1, 1, 8, 2, -2.0, 0.3, 0.1)],
+        "user_id long, query_id long, doc_id long, rank int, score double, a double, b double",
+    )
+    wr.write_trec_runs(g.rerank_run(g.fuse_scores(run, ["a", "b"])), str(tmp_path / "runs"))
+    read = spark.read.text(str(tmp_path / "runs")).collect()
+    assert sorted({r.method for r in read}) == ["CM_a", "CM_b", "NS_a", "NS_b", "WS_a", "WS_b"]
+    assert sorted(r.value for r in read if r.method == "NS_a") == ["1-1 Q0 7 2 2000.000000 run-1", "1-1 Q0 8 1 3000.000000 run-1"]
