@@ -425,3 +425,11 @@ def test_ties_and_fractional_scores():
             marked = "▁" + t.replace(" ", "▁")
             if all(c in "".join(p for p in pieces if len(p) == 1) for c in marked):
                 assert counter.count(t)[0] == len(tok.encode(marked).ids)
+
+
+def test_families_of_lines(spark, monkeypatch):
+    import minegrain.llm.line_dedup as m
+
+    monkeypatch.setattr(m, "FAMILY", 1)
+    df = line_docs(spark)
+    assert sorted(map(tuple, judge_lines(df).collect()), key=str) == brute_lines(texts(df))
