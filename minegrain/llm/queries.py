@@ -104,3 +104,27 @@ def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judge_lines(table(spark, sf_dir, "documents"))
+
+
+_WORDS = r"""regexp_extract_all(
+  translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"""
+SQL["op9_decontamination"] = f"""
+with d as materialized (select doc_id, {_WORDS} as ws from documents),
+i as (select item_id, {_WORDS} as ws from benchmark),
+starts as (select item_id, ws, unnest(range(1, greatest(1, len(ws) - 12) + 1)) as p from i where len(ws) > 0),
+windows as materialized (
+  select distinct item_id, least(len(ws), 13) as n, array_to_string(ws[p : p + 12], ' ') as k from starts),
+sizes as (select distinct n from windows),
+places as (select doc_id, ws, n, unnest(range(1, len(ws) - n + 2)) as p from d, sizes where len(ws) >= n),
+found as materialized (
+  select doc_id, p, w.n, item_id from (select doc_id, p, n, array_to_string(ws[p : p + n - 1], ' ') as k from places) x
+  join windows w on x.n = w.n and x.k = w.k),
+hits as (
+  select doc_id, count(distinct q) as n_hit from (select doc_id, unnest(range(p, p + n)) as q from found) group by 1),
+items as (
+  select doc_id, count(*) as n_items, string_agg(item, ',' order by item) as names
+  from (select distinct doc_id, cast(item_id as varchar) as item from found) group by 1)
+select d.doc_id, len(ws) as n_words, coalesce(n_hit, 0) as n_hit, coalesce(n_items, 0) as n_items,
+  sha256(coalesce(names, '')) as items_sha256, coalesce(n_hit > 0 and 20 * n_hit >= len(ws), false) as contaminated
+from d left join hits using (doc_id) left join items using (doc_id)
+"""

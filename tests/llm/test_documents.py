@@ -195,6 +195,11 @@ def test_contamination_against_brute_force(spark, sf, docs, edge_docs, no_docs,
     assert all(r.n_hit == 0 and not r.contaminated for r in none)
 
 
+def test_contamination_sql(spark, sf):
+    con = connect(sf)
+    assert compare(q.QUERIES["op9_decontamination"](spark, sf).toPandas(), con.execute(q.SQL["op9_decontamination"]).df()) == ""
+
+
 def test_longest_matches():
     ids = np.array([1, 2, 3, 0, 2, 3, 4, 5, 0], np.uint32)
     assert longest_matches(ids, [np.array([9, 2, 3, 4, 7], np.uint32)]) == [(1, 3, 4)]

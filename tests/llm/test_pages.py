@@ -8,8 +8,10 @@ import random
 import re
 
 import pytest
+from check_queries import connect
 from pyspark.sql import functions as F
 
+from minegrain.llm import queries as q
 from minegrain.llm.html_text import blocks_of, common_lines, main_text
 from minegrain.llm.url_rules import RULES, judge_urls
 from minegrain.llm.warc import END, MAGIC, page_records, read_warc, write_warc
@@ -90,6 +92,12 @@ def test_all_pages_come_back(spark, pages, tmp_path):
     assert sorted(map(tuple, page_records(read_warc(spark, path)).collect()), key=str) == brute_records(rows)
 
 
+def test_archive_sql(spark, sf):
+    got = q.QUERIES["op1_warc"](spark, sf).collect()
+    want = connect(sf).execute(q.SQL["op1_warc"]).fetchall()
+    assert sorted(map(tuple, got), key=str) == sorted(want, key=str)
+
+
 def test_empty_archive(spark, odd, tmp_path):
     write_warc(odd.filter("false"), str(tmp_path / "a"))
     assert read_warc(spark, str(tmp_path / "a")).count() == 0
