@@ -24,7 +24,9 @@ def normalised(text: Column) -> Column:
 
 def chunk_clashes(chunked: DataFrame, digest: Callable[[Column], Column]) -> DataFrame:
     """Digests that stand for more than one chunk text. Each different chunk moves once, copies are combined before."""
-    one = chunked.select(F.explode("__chunks").alias("chunk")).select(digest(F.col("chunk")).alias("digest"), "chunk")
+    # The outer form, as Spark would cut every text a second time to leave out those without chunks.
+    one = chunked.select(F.explode_outer("__chunks").alias("chunk")).filter("chunk is not null")
+    one = one.select(digest(F.col("chunk")).alias("digest"), "chunk")
     return one.groupBy("digest", "chunk").count().groupBy("digest").count().filter("count > 1")
 
 
