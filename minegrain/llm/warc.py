@@ -161,13 +161,14 @@ def reachable(found: DataFrame) -> DataFrame:
     """
     nodes = found.filter("next is not null").select("file", "offset", "next")
     ends = nodes.select("file", F.col("offset").alias("next"))
-    jump = stored(nodes.join(ends, ["file", "next"]).select("file", "offset", "next"), "jumps")
+    # Paths repeat, so these tables are far larger in memory than on disk: Spark must not broadcast them by their file size.
+    jump = stored(nodes.join(ends.hint("merge"), ["file", "next"]).select("file", "offset", "next"), "jumps")
     reached = nodes.filter("offset = 0").select("file", "offset")
     while not jump.isEmpty():
-        step = jump.join(reached, ["file", "offset"]).select("file", F.col("next").alias("offset"))
+        step = jump.join(reached.hint("merge"), ["file", "offset"]).select("file", F.col("next").alias("offset"))
         reached = stored(reached.unionByName(step).distinct(), "reached")
         onward = jump.select("file", F.col("offset").alias("next"), F.col("next").alias("onward"))
-        jump = stored(jump.join(onward, ["file", "next"]).select("file", "offset", F.col("onward").alias("next")), "jumps")
+        jump = stored(jump.join(onward.hint("merge"), ["file", "next"]).select("file", "offset", F.col("onward").alias("next")), "jumps")
     return reached
 
 
@@ -179,11 +180,11 @@ def _payloads(spark: SparkSession, path: str, found: DataFrame, records: DataFra
     known = records.select("file", "offset", "next", "body", F.col("offset").alias("own"))
     order = W.partitionBy("file").orderBy("offset").rowsBetween(W.unboundedPreceding, 0)
     all_of = found.filter("offset >= 0").select("file", "block", "at", "offset")
-    every = all_of.join(known.select("file", "offset", "own"), ["file", "offset"], "left")
+    every = all_of.join(known.select("file", "offset", "own").hint("merge"), ["file", "offset"], "left")
     owned = every.withColumn("owner", F.last("own", True).over(order)).filter("owner is not null")
     owned = owned.select("file", "block", "at", "owner", F.col("offset").alias("chunk_at"))
     spans = known.select("file", F.col("own").alias("owner"), "next", "body")
-    owned = stored(owned.join(spans, ["file", "owner"]).filter("chunk_at < next"), "owned")
+    owned = stored(owned.join(spans.hint("merge"), ["file", "owner"]).filter("chunk_at < next"), "owned")
 
     def place(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         at, where = 0, None
@@ -223,7 +224,7 @@ def read_warc(spark: SparkSession, path: str, payload: bool = False) -> DataFram
     tasks that read them, except those of records that hold a magic.
     """
     found = stored(candidates(spark, path), "chunks")
-    records = found.join(reachable(found), ["file", "offset"])
+    records = found.join(reachable(found).hint("merge"), ["file", "offset"])
     bytes_ = F.col("next") - F.col("offset") - F.col("body") - len(END)
     out = records.select("file", "offset", "next", "body", "head", bytes_.alias("payload_bytes"), F.col("digest").alias("payload_digest"))
     out = stored(out, "records")
