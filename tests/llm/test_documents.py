@@ -438,3 +438,35 @@ def test_families_of_lines(spark, monkeypatch):
     monkeypatch.setattr(m, "FAMILY", 1)
     df = line_docs(spark)
     assert sorted(map(tuple, judge_lines(df).collect()), key=str) == brute_lines(texts(df))
+
+
+def test_long_lines_may_differ_more(spark, monkeypatch):
+    import minegrain.llm.line_dedup as m
+
+    rng = random.Random(11)
+    base = ["".join(rng.choice("abcdé ") for _ in range(n)) for n in (140, 149, 155, 200, 330, 640)]
+    rows = []
+    for d in range(60):
+        s = list(rng.choice(base))
+        at = rng.randrange(len(s)) if d % 2 else None  # scattered edits, or all in one place
+        for _ in range(rng.randint(0, 2 + len(s) // 40)):
+            p = min(at, len(s)) if at is not None else rng.randint(0, len(s))
+            s[p : p + rng.randint(0, 1)] = rng.choice(["", "x", "y"])
+        rows.append((d, "".join(s)))
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    one, two = (df.select(F.col("text").alias(c)).distinct() for c in "xy")
+    near = F.levenshtein("x", "y") <= F.greatest(F.lit(2), F.floor(F.greatest(F.length("x"), F.length("y")) / 50))
+    gap = F.abs(F.length("x") - F.length("y"))
+    pairs = one.crossJoin(two).filter("x <> y").filter(F.when(gap <= 14, near)).groupBy("x").count()
+    want = {r["x"]: r["count"] for r in pairs.collect()}
+    for family in (m.FAMILY, 1):
+        monkeypatch.setattr(m, "FAMILY", family)
+        got = {r.doc_id: r.n_links for r in judge_lines(df).collect()}
+        assert got == {d: want.get(s, 0) for d, s in rows} and sum(want.values()) > 20
+
+
+def test_two_changed_words_in_a_long_line(spark):
+    words = [f"word{i * 37 % 101}" for i in range(95)]
+    other = words[:20] + ["another"] + words[21:70] + ["phrase"] + words[71:]
+    df = spark.createDataFrame([(1, " ".join(words)), (2, " ".join(other))], "doc_id long, text string")
+    assert [(r.n_links, r.kept) for r in judge_lines(df).orderBy("doc_id").collect()] == [(1, True), (1, False)]
