@@ -18,8 +18,6 @@ RULES = (
 MAX_RULES = 1000
 # Levels of the tree; what lies deeper is one segment of the last level.
 DEPTH = 6
-# Children of a branch above which they count as values of one variable.
-MAX_CHILDREN = 24
 # Siblings whose bad shares differ by less standard errors than this are merged.
 MERGE_Z = 1.96
 # Weight of the parent's share in the share of a branch, in labelled pages.
@@ -64,8 +62,8 @@ def template_tree(pages: DataFrame) -> DataFrame:
 
     `pages` has host, segs, n_lab and n_bad, one row per page. Pages are summed per generalised path before anything else, so
     a host of any size is as many rows as it has different paths. Level by level, children of a branch become the wildcard
-    `*` if there are more than MAX_CHILDREN of them, or if their bad share does not differ from that of all their siblings
-    by MERGE_Z standard errors; the others stay branches of their own. The share of a branch is smoothed towards that of its
+    `*` if their bad share does not differ from that of all their siblings by MERGE_Z standard errors; the others stay
+    branches of their own, however many siblings they have. The share of a branch is smoothed towards that of its
     parent, from the share of all pages over the host down to the template.
     """
     rows = pages.groupBy("host", "segs").agg(
@@ -82,11 +80,7 @@ def template_tree(pages: DataFrame) -> DataFrame:
         child = F.when(F.size("segs") > level, F.element_at("segs", level + 1)).otherwise(F.lit(""))
         rows = rows.withColumn("child", child)
         kids = rows.groupBy("host", "template", "child").agg(F.sum("n_lab").alias("k_lab"), F.sum("n_bad").alias("k_bad"))
-        all_kids = kids.groupBy("host", "template").agg(
-            F.sum((F.col("child") != "").cast("int")).alias("children"),
-            F.sum("k_lab").alias("p_lab"),
-            F.sum("k_bad").alias("p_bad"),
-        )
+        all_kids = kids.groupBy("host", "template").agg(F.sum("k_lab").alias("p_lab"), F.sum("k_bad").alias("p_bad"))
         kids = kids.join(all_kids, ["host", "template"])
         lab, bad = F.col("p_lab") - F.col("k_lab"), F.col("p_bad") - F.col("k_bad")
         pooled = (F.col("p_bad") + 1) / (F.col("p_lab") + 2)
@@ -94,7 +88,7 @@ def template_tree(pages: DataFrame) -> DataFrame:
         apart = F.when(
             (F.col("k_lab") > 0) & (lab > 0), F.abs(F.col("k_bad") / F.col("k_lab") - bad / lab) > MERGE_Z * error
         ).otherwise(F.lit(False))
-        merged = (F.col("child") != "") & ((F.col("children") > MAX_CHILDREN) | ~apart)
+        merged = (F.col("child") != "") & ~apart
         kids = kids.select("host", "template", "child", F.when(merged, F.lit("*")).otherwise(F.col("child")).alias("name"))
         rows = rows.join(kids, ["host", "template", "child"]).drop("child")
         # A path that ends here keeps its template.

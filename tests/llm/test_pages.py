@@ -169,6 +169,19 @@ def test_many_children_become_a_wildcard(spark):
     assert {r.template for r in got.collect()} == {"/*/*"}
 
 
+@pytest.mark.parametrize("clean", [23, 24])
+def test_bad_branch_among_any_number_of_siblings(spark, clean):
+    names = [f"{chr(97 + i % 26)}{chr(97 + i // 26)}" for i in range(clean)] + ["spam"]
+    rows = [(i, f"http://h.info/{name}/x{i}") for i, name in enumerate(n for n in names for _ in range(40))]
+    labels = [(i, 0 if "/spam/" in u else 1, 0) for i, u in rows if i % 2]
+    got = judge_urls(
+        spark.createDataFrame(rows, "page_id long, url string"),
+        spark.createDataFrame(labels, "doc_id long, quality int, toxic int"),
+    ).collect()
+    assert all((r.verdict == "block") == r.path.startswith("/spam/") for r in got) and len(got) == len(rows)
+    assert all(r.template.startswith("/spam/") == r.path.startswith("/spam/") for r in got)
+
+
 # --- main text
 
 
