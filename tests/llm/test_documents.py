@@ -302,6 +302,30 @@ def test_language_ignores_labels_of_held_out_rows(docs):
     assert {r.lang_pred for r in identify_languages(wrong).collect()} == {r.lang for r in docs.select("lang").distinct().collect()}
 
 
+def test_language_of_a_large_alphabet(spark, monkeypatch):
+    """One language fills a filter of 2^10 slots; the rate must not follow."""
+    import minegrain.llm.language as m
+
+    monkeypatch.setattr(m, "SLOTS_LOG2", 10)
+    rng = random.Random(5)
+    many = ["".join(chr(0x4E00 + rng.randrange(40)) for _ in range(60)) for _ in range(900)]
+    few = ["the cat sat on the mat and the dog ran to the cat"] * 30
+    rows = [(i, t, "zh") for i, t in enumerate(many)] + [(2000 + i, t, "en") for i, t in enumerate(few)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    got = []
+    for most in (m.MAX_SLOTS_LOG2, 0):  # the filter, and the join
+        monkeypatch.setattr(m, "MAX_SLOTS_LOG2", most)
+        model = m.learn(df)
+        assert (model.table is None) == (most == 0)
+        if most:
+            full = np.count_nonzero(model.table & np.uint64(2)) / len(model.table)
+            assert full**3 <= m.FALSE_RATE
+        out = m.identify(df, model).collect()
+        assert all(r.lang_pred == r.lang for r in out) and len(out) == len(rows)
+        got.append({r.doc_id: r.score for r in out})
+    assert all(abs(got[0][d] - got[1][d]) < 0.1 for d in got[0])
+
+
 # --- lines
 
 
