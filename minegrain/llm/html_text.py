@@ -30,14 +30,17 @@ VOID = frozenset("area base br col embed hr img input link meta param source tra
 RAW = "script|style|noscript|template|textarea|iframe|svg|math|object|canvas|xmp|noembed|noframes"
 # Elements that never hold main text.
 BOILER = frozenset("aside button datalist dialog fieldset footer form head label menu nav option search select title".split())
-# Words of class, id and role that mark the same.
+# Words that mark the same, if a class, an id or a role names its element by them.
 BOILER_WORDS = frozenset(
     "ad ads advert advertisement advertising banner breadcrumb breadcrumbs comment comments consent contentinfo cookie "
     "cookies disqus footer gdpr masthead menu modal nav navbar navigation newsletter notice notification popup promo "
     "promoted related replies reply search share sharing sidebar signup skip social sponsor sponsored subscribe toolbar "
     "widget".split()
 )
-HEADER_WORDS = frozenset(["header", "banner"])
+# Words before which or after which another word does not name the element, and words that may follow the name.
+NOT_AFTER = frozenset("has hide no non not show with without".split())
+SIDES = frozenset("bottom left right top".split())
+HOLDERS = frozenset("area bar block box container holder inner items item links link list panel post posts section slot unit wrap wrapper".split())
 REGION = frozenset(["article", "main"])
 
 _TOKEN = re.compile(
@@ -50,36 +53,50 @@ _PART = re.compile(r"[a-z0-9]+")
 _SPACE = re.compile(r"\s+")
 
 
-def _boiler(tag: str, attributes: str, inside: bool) -> bool:
-    if tag in BOILER or tag == "header" and not inside:
-        return True
-    if not attributes:
+def _names(token: str, marks: frozenset[str]) -> bool:
+    """Whether a class, an id or a role names its element by one of `marks`: alone, as the last word, or before a holder.
+
+    A word before a side names it only without other words: sidebar-left does, layout-menu-left is a layout.
+    """
+    words = [w for w in _PART.findall(token.lower()) if not w.isdigit()]
+    while len(words) > 1 and words[-1] in HOLDERS and words[-1] not in marks:
+        words.pop()
+    if not words or NOT_AFTER & set(words):
+        return False
+    if words[-1] in SIDES:
+        rest = [w for w in words if w not in SIDES]
+        return bool(rest) and all(w in marks for w in rest)
+    return words[-1] in marks
+
+
+def _by_tag(tag: str, inside: bool) -> bool:
+    return tag in BOILER or tag == "header" and not inside
+
+
+def _by_name(tag: str, attributes: str, inside: bool) -> bool:
+    if not attributes or tag in ("html", "body", "article", "main"):
         return False
-    for m in _MARK.finditer(attributes):
-        words = set(_PART.findall((m[1] or m[2] or m[3] or "").lower()))
-        if words & (BOILER_WORDS - HEADER_WORDS if tag in ("html", "body") else BOILER_WORDS):
-            return tag not in ("html", "body", "article", "main")
-        if "header" in words and not inside:
-            return tag not in ("html", "body", "article", "main")
-    return False
+    marks = BOILER_WORDS if inside else BOILER_WORDS | {"header"}
+    return any(_names(t, marks) for m in _MARK.finditer(attributes) for t in (m[1] or m[2] or m[3] or "").split())
 
 
 def blocks_of(page: str | None) -> list[tuple[str, int]]:
     """(text, kind) of each block with text, in page order. kind: 2 in an article or main element, 1 elsewhere, 0 boilerplate.
 
-    Character references are decoded, white space becomes one space, and line breaks inside a block are white space.
+    Character references are decoded, white space becomes one space, and line breaks inside a block are white space. A name
+    makes no element boilerplate that holds most of the plain text, unless an article or main element outside has text.
     """
-    out: list[tuple[str, int]] = []
-    stack: list[tuple[str, bool, bool]] = []  # tag, boilerplate, in a region
+    out: list[tuple[str, int, frozenset[int]]] = []
+    stack: list[tuple[str, bool, bool, frozenset[int]]] = []  # tag, boilerplate by tag, in a region, elements marked by name
     text: list[str] = []
-    kind = 1
+    kind, marks, n_marks = 1, frozenset(), 0
 
     def close() -> None:
         if text:
             whole = _SPACE.sub(" ", html.unescape("".join(text))).strip()
             text.clear()
             if whole:
-                out.append((whole, kind))
+                out.append((whole, kind, marks))
 
     for m in _TOKEN.finditer(page or ""):
         tag = m[3]
@@ -97,21 +114,31 @@ def blocks_of(page: str | None) -> list[tuple[str, int]]:
         if m[2]:
             for at in range(len(stack) - 1, -1, -1):
                 if stack[at][0] == tag:
-                    if any(s[1] for s in stack[at:]):
+                    if any(s[1] or s[3] for s in stack[at:]):
                         close()
                     del stack[at:]
                     break
         elif tag not in VOID:
-            boiler, inside = stack[-1][1:] if stack else (False, False)
-            own = _boiler(tag, m[4], inside)
+            boiler, inside, named = stack[-1][1:] if stack else (False, False, frozenset())
+            own = _by_tag(tag, inside)
+            if not own and _by_name(tag, m[4], inside):
+                named, n_marks = named | {n_marks}, n_marks + 1
+                close()
             if own:
                 close()
             if tag in ("p", "li") and stack and stack[-1][0] == tag:
                 stack.pop()
-            stack.append((tag, boiler or own, inside or tag in REGION))
+            stack.append((tag, boiler or own, inside or tag in REGION, named))
+        marks = stack[-1][3] if stack else frozenset()
         kind = (0 if stack[-1][1] else 2 if stack[-1][2] else 1) if stack else 1
     close()
-    return out
+    plain = sum(len(t) for t, k, _ in out if k)
+    held: dict[int, int] = {}
+    for t, k, named in out:
+        for x in named if k else ():
+            held[x] = held.get(x, 0) + len(t)
+    most = {x for x, n in held.items() if 2 * n > plain and not any(k == 2 and x not in named for _, k, named in out)}
+    return [(t, 0 if named - most else k) for t, k, named in out]
 
 
 def line_hashes(blocks: list[tuple[str, int]]) -> list[int]:

@@ -206,6 +206,18 @@ def test_markup():
     assert blocks_of("<article><p>left open")[0] == ("left open", 2)
 
 
+def test_names_of_containers():
+    body = "<p>The long story of the day</p><p>and how it ends.</p>"
+    side = "<p>Home</p>"
+    for name in ("content with-sidebar", "has-sidebar", "no-ads", "layout-menu-left", "post share-enabled"):
+        for page in (f'<div class="{name}">{body}</div>', f'<div class="{name}">{side}</div><div>{body * 3}</div>'):
+            assert all(k for _, k in blocks_of(page)), name
+    for name in ("sidebar", "main-sidebar", "sidebar-left", "ad", "ad-container", "related-posts", "nav_menu", "cookie-notice"):
+        assert [t for t, k in blocks_of(f'<div class="x {name}">{side}</div>{body}') if k][0] != "Home", name
+        assert [k for _, k in blocks_of(f'<div id="{name}">{body}</div>{side}')] == [1, 1, 1], name
+    assert [k for _, k in blocks_of(f"<main>{side}</main><div class=comments>{body}</div>")] == [2, 0, 0]
+
+
 def lcs(a, b):
     d = [[0] * (len(b) + 1) for _ in range(len(a) + 1)]
     for i, x in enumerate(a):
