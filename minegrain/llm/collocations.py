@@ -24,8 +24,8 @@ _FOLD = bytes.maketrans(
     b"ABCDEFGHIJKLMNOPQRSTUVWXYZ\t" + _ENDS, b"abcdefghijklmnopqrstuvwxyz " + b"\n" * len(_ENDS)
 )
 # Words that a task holds before it hands over their counts, and bytes of text it splits at once.
-_CHUNK_WORDS = 2_000_000
-_BLOCK_BYTES = 4_000_000
+_CHUNK_WORDS = 700_000
+_BLOCK_BYTES = 1_000_000
 # Bits of the filter of frequent words and pairs: sixteen for each, within these bounds (16 MB at most).
 _FILTER_BITS = (16, 27)
 _SLOT_BITS = 48
