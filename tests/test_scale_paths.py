@@ -149,7 +149,98 @@ def test_joined_assignment_equals_packed(spark):
         F.col("cluster").cast("int"), F.col("term_id").cast("int"), "w"
     )
     packed = {r.doc_id: r.cluster for r in cl.assign_cosine(vectors, centroids).collect()}
-    assert {r.doc_id: r.cluster for r in cl._assign_joined(vectors, centroids).collect()} == packed
+    assert {r.doc_id: r.cluster for r in cl._assign_ranges(cl.pack_documents(vectors), centroids).collect()} == packed
+
+
+from minegrain.operators.kmeans_grid import lots_of_fits as cl_lots  # noqa: E402
+
+
+def test_assignment_in_ranges(spark, monkeypatch):
+    """Ranges of two clusters, one cluster without length, documents without common terms or without length."""
+    rng = np.random.default_rng(12)
+    v = np.where(rng.random((200, 40)) < 0.1, rng.normal(size=(200, 40)), 0.0)
+    v[5:9, 0] += 1e-3
+    c = np.where(rng.random((9, 40)) < 0.3, rng.normal(size=(9, 40)), 0.0)
+    vectors = cells(spark, v, "doc_id long, term_id long, weight double").withColumn("term_id", F.col("term_id").cast("int"))
+    vectors = vectors.unionByName(spark.createDataFrame([(900, 77, 1.0), (901, 3, 0.0)], vectors.schema))
+    centroids = cells(spark, c, "cluster long, term_id long, w double").select(
+        F.col("cluster").cast("int"), F.col("term_id").cast("int"), "w"
+    )
+    centroids = centroids.unionByName(spark.createDataFrame([(20, 1, 0.0)], centroids.schema))
+    one = {r.doc_id: r.cluster for r in cl.assign_cosine(vectors, centroids).collect()}
+    monkeypatch.setattr(cl, "MAX_CENTROID_CELLS", 25)
+    assert {r.doc_id: r.cluster for r in cl.assign_cosine(vectors, centroids).collect()} == one
+    assert one[900] == one[901] == 0
+
+
+def _draws_one_by_one(v, k, seed, weight):
+    """Rows drawn one after the other, each by a race over all rows."""
+    import hashlib
+
+    unit = v / np.linalg.norm(v, axis=1, keepdims=True)
+    chosen = []
+    for step in range(k):
+        w = np.ones(len(v))
+        if chosen:
+            sims = np.round(unit @ unit[chosen].T, 10)
+            w = 1.0 - sims.max(axis=1) if weight == "distance" else sims.min(axis=1)
+        keys = []
+        for doc in range(len(v)):
+            digits = hashlib.md5(f"{seed}|{step}|{doc}".encode()).hexdigest()[:10]
+            keys.append(-np.log((int(digits, 16) + 0.5) / (1 << 40)) / w[doc] if w[doc] > 1e-9 else np.inf)
+        if min(keys) == np.inf:
+            break
+        chosen.append(int(np.argmin(keys)))
+    return chosen
+
+
+@pytest.mark.parametrize("weight", ["distance", "min_similarity"])
+def test_draws_of_several_steps_a_pass(spark, weight, monkeypatch):
+    """The same documents as with a pass per draw, in far fewer passes."""
+    from minegrain.operators import stacks
+
+    rng = np.random.default_rng(8)
+    v = rng.random((300, 6)) ** 4 + 1e-3
+    v[200:] = v[:100]  # copies
+    vectors = cells(spark, v, "doc_id long, term_id long, weight double")
+    packed = cl.cut_lineage(cl.pack_documents(vectors))
+    passes = []
+    race = stacks._race
+    monkeypatch.setattr(stacks, "_race", lambda *a: passes.append(1) or race(*a))
+    found = stacks.draw_sequences(packed, 60, [1, 2], weight)
+    for seed, rows in zip([1, 2], found, strict=True):
+        expected = _draws_one_by_one(v, 60, seed, weight)
+        assert [w.tolist() for _, w in rows] == [v[d].tolist() for d in expected]
+    assert len(passes) <= 20
+
+
+def test_draws_end_with_the_documents(spark):
+    v = np.eye(4)[[0, 1, 2, 3, 0, 1]]
+    vectors = cells(spark, v, "doc_id long, term_id long, weight double")
+    assert [len(x) for x in cl.draw_sequences(cl.cut_lineage(cl.pack_documents(vectors)), 9, [0, 5], "distance")] == [4, 4]
+    with pytest.raises(ValueError, match="only 4"):
+        cl.init_kmeanspp(vectors, 5)
+
+
+@pytest.mark.parametrize("limit", [20_000_000, 700])
+def test_sweep_equals_single_fits(spark, monkeypatch, limit):
+    rng = np.random.default_rng(3)
+    tf = np.where(rng.random((70, 25)) < 0.3, rng.integers(1, 6, (70, 25)), 0)
+    tf[:, 0] = 1
+    rows = cells(spark, tf.astype(float), "doc_id long, term_id long, tf double").withColumn("tf", F.col("tf").cast("int"))
+    rows = rows.withColumn("term_id", F.col("term_id").cast("int"))
+    gold = spark.createDataFrame([(i, "abc"[i % 3]) for i in range(70)] + [(99, "d")], "doc_id long, label string")
+    ks = [2, 5, 9, 80]
+    monkeypatch.setattr(cl, "lots_of_fits", lambda ks, w, c: cl_lots(ks, w, c, limit))
+    found = {(r.variant, r.k, r.iteration): (r.rounds, r.f1) for r in cl.kmeans_sweep(rows, gold, ks, repeats=2).collect()}
+    assert len(found) == 3 * 4 * 2
+    assert all(found[v, 80, i] == (None, None) for v in ("kmeansplusplus", "custom") for i in (1, 2))
+    plain = rows.select("doc_id", "term_id", F.col("tf").cast("double").alias("weight"))
+    weighted = cl.tfidf(rows, cl.document_frequency(rows, "term_id"), 70, term="term_id")
+    for variant, vectors, init in (("basic", plain, "random"), ("kmeansplusplus", plain, "++"), ("custom", weighted, "++")):
+        for k in (2, 9):
+            _, assign, rounds = cl.kmeans_fit(vectors, k, init, None, 1)
+            assert found[variant, k, 2] == (rounds, pytest.approx(cl.cluster_macro_f1(assign, gold).first()[0]))
 
 
 def test_kmeans_without_broadcast(spark, monkeypatch):
@@ -219,7 +310,7 @@ def test_gaps_in_cluster_ids_and_large_term_ids(spark):
     centroids = spark.createDataFrame([(3, -7, 1.0), (5, -7, 0.5), (5, big, 1.0)], "cluster int, term_id long, w double")
     packed = {r.doc_id: r.cluster for r in cl.assign_cosine(vectors, centroids).collect()}
     assert packed == {10: 5, 11: 3}
-    assert {r.doc_id: r.cluster for r in cl._assign_joined(vectors, centroids).collect()} == packed
+    assert {r.doc_id: r.cluster for r in cl._assign_ranges(cl.pack_documents(vectors), centroids).collect()} == packed
     fitted, assign, _ = cl.kmeans_fit(vectors, 2, centroids)
     assert {r.doc_id: r.cluster for r in assign.collect()} == packed
     assert {r.term_id for r in fitted.collect()} == {-7, big}
