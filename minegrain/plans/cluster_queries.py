@@ -185,8 +185,12 @@ def classify_unseen(spark, sf):
     return cl.classify_unseen(test.select("doc_id", "term_id", "tf"), vocab_test, vocab, df, centroids)
 
 
+# 40 values of k, each fitted three times from three kinds of starts.
+SWEEP_KS = tuple(range(5, 205, 5))
+
+
 @query("kmeans_sweep")
 def kmeans_sweep(spark, sf):
     tf, _ = text_vectors(spark, sf)
-    sweep = cl.kmeans_sweep(tf, inp.lang_gold(spark, sf), ks=[25], repeats=1)
+    sweep = cl.kmeans_sweep(tf, inp.lang_gold(spark, sf), ks=SWEEP_KS, repeats=3)
     return sweep.withColumn("f1", rounded("f1"))

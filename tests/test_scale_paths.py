@@ -231,7 +231,7 @@ def test_sweep_equals_single_fits(spark, monkeypatch, limit):
     rows = rows.withColumn("term_id", F.col("term_id").cast("int"))
     gold = spark.createDataFrame([(i, "abc"[i % 3]) for i in range(70)] + [(99, "d")], "doc_id long, label string")
     ks = [2, 5, 9, 80]
-    monkeypatch.setattr(cl, "lots_of_fits", lambda ks, w, c: cl_lots(ks, w, c, limit))
+    monkeypatch.setattr(cl, "lots_of_fits", lambda *a: cl_lots(*a, limit))
     found = {(r.variant, r.k, r.iteration): (r.rounds, r.f1) for r in cl.kmeans_sweep(rows, gold, ks, repeats=2).collect()}
     assert len(found) == 3 * 4 * 2
     assert all(found[v, 80, i] == (None, None) for v in ("kmeansplusplus", "custom") for i in (1, 2))
