@@ -275,6 +275,92 @@ def test_pmf_follows_gradient_descent(spark):
     assert accepted == sorted(accepted, reverse=True)
 
 
+def test_step_control():
+    """Steps and ends from losses alone."""
+    control = fc.StepControl(1.0, min_trials=4, max_trials=50, growth=2)
+    assert not control.ended
+    assert control.judge(100.0) and control.step == 1.0  # the first trial has nothing to be compared with
+    assert control.judge(90.0) and control.step == 1.25  # second: grows
+    assert not control.judge(91.0) and control.step == 1.0  # refused: shrinks, and keeps the best
+    assert control.best == 90.0 and control.trials == 4 and not control.ended
+    assert control.judge(90.0 * (1 - 1e-6)) and control.step == 1.25
+    assert control.converged and control.ended
+    assert [h[3] for h in control.history] == [True, True, False, True] and [h[2] for h in control.history] == [1.0, 1.0, 1.25, 1.0]
+    worse = fc.StepControl(1.0, min_trials=2, max_trials=4)
+    for loss in (5.0, float("inf"), float("nan")):
+        assert not worse.ended
+        worse.judge(loss)
+    assert worse.ended and not worse.converged and worse.step == pytest.approx(0.64)
+
+
+def _pmf_ratings(spark, hot=False, scale=1):
+    rng = np.random.default_rng(5)
+    cells = {(int(u), int(i)) for u, i in rng.integers(0, (60, 40), (700, 2))} | ({(3, i) for i in range(40)} if hot else set())
+    rows = [(u * scale, i * scale + 7 * (scale > 1), float(1 + (u * 7 + i * 3) % 5)) for u, i in sorted(cells)]
+    return spark.createDataFrame(rows, "user_id long, item_id long, rating double")
+
+
+@pytest.mark.parametrize("block_ids, tile", [(1 << 15, (10_000, 500_000)), (8, (20, 30))])
+def test_pmf_gradient_over_many_tiles(spark, monkeypatch, block_ids, tile):
+    monkeypatch.setattr(fc, "BLOCK_IDS", block_ids)
+    monkeypatch.setattr(fc, "TILE_RATINGS", tile)
+    ratings, rng = _pmf_ratings(spark, hot=True), np.random.default_rng(1)
+    u, v = rng.random((60, 3)), rng.random((40, 3))
+    users, items = (spark.createDataFrame([(i, f.tolist()) for i, f in enumerate(x)], "id long, f array<double>") for x in (u, v))
+    du, dv = fc.pmf_gradient(ratings, users, items, 0.7)
+    e = np.zeros((60, 40))
+    for r in ratings.collect():
+        e[r.user_id, r.item_id] = r.rating - 3 - u[r.user_id] @ v[r.item_id]
+    for d, expected in ((du, u / u.var() - e @ v / 0.7), (dv, v / v.var() - e.T @ u / 0.7)):
+        np.testing.assert_allclose(np.array([r.f for r in d.orderBy("id").collect()]), expected, atol=1e-9)
+
+
+def test_tiles_do_not_move(spark, monkeypatch):
+    """No exchange between the scan of the tiles and the step that uses them, with and without broadcasts."""
+    monkeypatch.setattr(fc, "TILE_RATINGS", (20, 30))
+    ratings = _pmf_ratings(spark)
+    start = [fc.seeded_factors(spark.range(n), 2, 1) for n in (60, 40)]
+    for threshold in ("-1", "10485760"):
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+        try:
+            problem = fc._Problem(ratings, *start, 2)
+            plan = problem.gradient_blocks(problem.pack(*start))._jdf.queryExecution().executedPlan().toString()
+        finally:
+            spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        lines = plan.split("\n")
+        scan = next(i for i, x in enumerate(lines) if "pmf_tiles" in x and "Scan" in x)
+        depth = lambda x: len(x) - len(x.lstrip(" :+-*()0123456789"))
+        above, at = [], depth(lines[scan])
+        for x in reversed(lines[:scan]):
+            if depth(x) < at:
+                above.append(x)
+                at = depth(x)
+            if "CoGroup" in x:
+                break
+        assert any("CoGroup" in x for x in above) and not any("Exchange" in x for x in above), plan
+        problem.close()
+
+
+def test_factors_of_large_ids(spark):
+    """Ids of 10^15 with factors for those that occur, fitted like their small counterparts."""
+    scale = 10**13
+    big, small = _pmf_ratings(spark, scale=scale), _pmf_ratings(spark)
+    users = small.select("user_id").distinct().toPandas()["user_id"].tolist()
+    items = small.select("item_id").distinct().toPandas()["item_id"].tolist()
+    rng = np.random.default_rng(2)
+    starts = []
+    for k, shift in ((1, 0), (scale, 7)):
+        rng = np.random.default_rng(2)
+        sides = [[(int(i) * k + shift * side, rng.random(2).tolist()) for i in sorted(ids)] for side, ids in enumerate((users, items))]
+        starts.append(tuple(spark.createDataFrame(x, "id long, f array<double>") for x in sides))
+    a = fc.pmf_fit(small, 2, step=1e-3, max_iter=4, start=starts[0])
+    b = fc.pmf_fit(big, 2, step=1e-3, max_iter=4, start=starts[1])
+    assert not a.converged and a.users.count() == b.users.count() == len(users)
+    seen = fc.pmf_fit(big, 2, step=1e-3, max_iter=3, dense=False)
+    assert {r.id for r in seen.items.collect()} == {r.item_id for r in big.collect()}
+    assert all(h[1] > 0 for h in seen.history)
+
+
 def test_line_numbers_over_files(spark, tmp_path):
     for n in range(3):
         (tmp_path / f"part-{n}").write_text("".join(f"{n} {i}\n" for i in range(50 * (n + 1))))
