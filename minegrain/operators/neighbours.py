@@ -120,9 +120,6 @@ def nearest_neighbours(ratings: DataFrame, k: int, by: str = "item", kind: str =
     centred = user_mean_centering(ratings) if kind == "pcc" else center_ratings(ratings)
     n = ratings.select(row).distinct().count()
     found = tiled_best(_cells(centred, row, inner), min(k, n - 1), TIE_DIGITS, kind != "dot")
-    if found is None:
-        pairs = _gram(centred, row, inner, kind != "dot").withColumnRenamed("value", "sim")
-        return topk_neighbours(pairs, n, k)
     found = cut_lineage(found)
     counts = found.filter("counted").groupBy("row").agg(F.sum("n_pos").alias("n_pos"), F.sum("n_neg").alias("n_neg"))
     return _placed(found.filter("not counted").select("row", "neighbour", "sim"), counts, n, k)

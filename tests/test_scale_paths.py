@@ -50,6 +50,60 @@ def test_tiled_product_of_two(spark, skewed, block_rows, tile_cells):
     np.testing.assert_allclose(got, wanted, atol=1e-9)
 
 
+@pytest.fixture(params=["whole", "cut"])
+def way(request, monkeypatch):
+    """Both ways of tiles to their partners."""
+    monkeypatch.setattr(tiles, "COUNTED_BLOCKS", 1 if request.param == "cut" else 10**9)
+    monkeypatch.setattr(tiles, "CUT_ADVANTAGE", 0)
+    return request.param
+
+
+@pytest.mark.parametrize("block_rows,tile_cells", [(512, 500_000), (7, 500_000), (7, 5), (60, 9)])
+def test_ways_of_tiles_agree(spark, skewed, way, block_rows, tile_cells):
+    found = tiled_product(cells(spark, skewed), block_rows=block_rows, tile_cells=tile_cells).collect()
+    gram = skewed @ skewed.T
+    wanted = {(i, j): pytest.approx(gram[i, j], abs=1e-9) for i in range(60) for j in range(i + 1, 60) if gram[i, j] != 0}
+    assert len(found) == len(wanted) and {(r.left, r.right): r.value for r in found} == wanted
+    other = skewed[:30] * 2.0 + (skewed[:30] != 0)
+    found = tiled_product(cells(spark, skewed), cells(spark, other), block_rows, tile_cells).collect()
+    got = np.zeros((60, 30))
+    for r in found:
+        got[r.left, r.right] = r.value
+    assert len(found) == len({(r.left, r.right) for r in found})
+    np.testing.assert_allclose(got, skewed @ other.T, atol=1e-9)
+
+
+def test_cut_tiles_move_shared_keys_only(spark):
+    """Rows in pairs with keys of their own: blocks meet where they share a key, not each with each."""
+    rows = [(r, (r // 2) * 10 + j, 1.0) for r in range(400) for j in range(3)]
+    m = spark.createDataFrame(rows, "row long, inner long, value double")
+    work, striped = tiles._tile_pairs(m, None, 4, 500_000)
+    moved = work.select(F.size("rows").alias("n")).agg(F.count("n"), F.sum("n")).first()
+    assert not striped and moved[0] <= 300 and moved[1] <= 2400  # 100 blocks: 5,050 pairs of blocks
+    assert tiled_product(m, block_rows=4).count() == 200
+
+
+@pytest.mark.parametrize("by,kind", [("user", "dot"), ("user", "cosine"), ("item", "cosine"), ("item", "pcc")])
+def test_nearest_neighbours_with_a_hot_item(spark, monkeypatch, way, by, kind):
+    """One item rated by everyone and one user who rated everything: stripes, but no list of pairs."""
+    rng = np.random.default_rng(12)
+    m = np.where(rng.random((40, 30)) < 0.2, rng.integers(1, 6, (40, 30)), 0)
+    m[:, 3], m[5] = rng.integers(1, 6, 40), rng.integers(1, 6, 30)
+    ratings = spark.createDataFrame(
+        [(int(u), int(i), float(m[u, i])) for u, i in np.argwhere(m)], "user_id long, item_id long, rating double"
+    )
+    names = {"dot": "dot", "cosine": "cosine", "pcc": "pcc"}
+    pairs = getattr(nb, f"{by}_similarity_{names[kind]}")(ratings)
+    n = 40 if by == "user" else 30
+    wanted = {(r.row, r.neighbour): (r.sim, r.place) for r in nb.topk_neighbours(pairs, n, 9).collect()}
+    monkeypatch.setattr(tiles, "BLOCK_ROWS", (6, 6))
+    monkeypatch.setattr(tiles, "TILE_CELLS", 12)
+    monkeypatch.setattr(nb, "tiled_product", None)  # would list the pairs
+    found = nb.nearest_neighbours(ratings, 9, by, kind)
+    assert {(r.row, r.neighbour): r.place for r in found.collect()} == {p: v[1] for p, v in wanted.items()}
+    assert all(abs(r.sim - wanted[r.row, r.neighbour][0]) < 1e-9 for r in found.collect())
+
+
 def test_row_index_and_ranks(spark):
     rng = np.random.default_rng(1)
     keys = np.where(rng.random(500) < 0.4, 0, rng.integers(1, 20, 500))
