@@ -243,18 +243,20 @@ def _tile_pairs(
     if not symmetric:
         placed_r, blocks, striped_r = _place(cast(right), block_rows, tile_cells)
         striped = striped or striped_r
-    if blocks >= COUNTED_BLOCKS and _shared_cells(placed_l, placed_r) * CUT_ADVANTAGE < placed_l.count() * blocks:
+    if blocks >= COUNTED_BLOCKS and _cutting_moves_less(placed_l, None if symmetric else placed_r, blocks):
         work = _cut_to_shared(placed_l, placed_r, symmetric)
     else:
         work = _sent_whole(placed_l, placed_r, symmetric, blocks, striped)
     return work, striped
 
 
-def _shared_cells(left: DataFrame, right: DataFrame) -> int:
-    """Cells that move if a cell goes to every block that has its inner key."""
-    n = left.groupBy("inner").agg(F.count(F.lit(1)).alias("n"))
-    b = right.select("inner", "block").distinct().groupBy("inner").agg(F.count(F.lit(1)).alias("b"))
-    return n.join(b, "inner").agg(F.sum(F.col("n") * F.col("b"))).first()[0] or 0
+def _cutting_moves_less(left: DataFrame, right: DataFrame | None, blocks: int) -> bool:
+    """Whether fewer cells move if a cell goes to every block that has its inner key, which are no more than the key's rows."""
+    n = left.groupBy("inner").agg(F.count(F.lit(1)).alias("n")).withColumn("m", F.col("n"))
+    if right is not None:
+        n = n.drop("m").join(right.groupBy("inner").agg(F.count(F.lit(1)).alias("m")), "inner", "left").fillna(0, "m")
+    cells, shared = n.agg(F.sum("n"), F.sum(F.col("n") * F.least("m", F.lit(blocks)))).first()
+    return cells is not None and shared * CUT_ADVANTAGE < cells * blocks
 
 
 def _cut_to_shared(left: DataFrame, right: DataFrame, symmetric: bool) -> DataFrame:
