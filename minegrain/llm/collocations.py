@@ -26,7 +26,9 @@ _FOLD = bytes.maketrans(
 # Words that a task holds before it hands over their counts, and bytes of text it splits at once.
 _CHUNK_WORDS = 700_000
 _BLOCK_BYTES = 1_000_000
-# Bits of the filter of frequent words and pairs: sixteen for each, within these bounds (16 MB at most).
+# Bits of the filter of frequent words and pairs: so many for each, within these bounds (16 MB at most). A rare pair that
+# shares a bit with a frequent one makes a longer window, and mostly one of its own.
+_SLOT_SHARE = 128
 _FILTER_BITS = (16, 27)
 _SLOT_BITS = 48
 
@@ -119,7 +121,7 @@ def _frequent_slots(texts: DataFrame, min_count: int) -> np.ndarray:
     """A bit for each slot, folded to the size of the filter, of the words and pairs that occur `min_count` times."""
     found = texts.mapInArrow(_slot_counts, "slot bigint, n bigint").groupBy("slot").agg(F.sum("n").alias("n"))
     found = stored(found.filter(F.col("n") >= min_count).select("slot"), "frequent-slots")
-    size = min(max((16 * found.count()).bit_length(), _FILTER_BITS[0]), _FILTER_BITS[1])
+    size = min(max((_SLOT_SHARE * found.count()).bit_length(), _FILTER_BITS[0]), _FILTER_BITS[1])
     at = F.col("slot").bitwiseAND((1 << size) - 1)
     lot = found.groupBy(F.shiftright(at, 6).alias("at")).agg(F.bit_or(F.expr("shiftleft(1L, cast(slot & 63 as int))")).alias("bits"))
     rows = lot.toPandas()  # 2^(size - 6) rows at most
