@@ -68,7 +68,7 @@ def collocation_rows(seed, n=150):
     for _ in range(n):
         text = "".join(rng.choice(words) + rng.choice([" ", " ", " ", "  ", "\t", ". ", ",", "\n", "!?"]) for _ in range(rng.randint(0, 60)))
         rows.append((text, rng.choice(["en", "en", "fr", None, "und"])))
-    return rows + [(None, "en"), ("", None), (rows[0][0], rows[0][1])] + [("new york city hall in new york", "de")] * 5
+    return rows + [(None, "en"), ("", None), (rows[0][0], rows[0][1])] + [("new york city hall in new york", "de"), ("new york", "")] * 5
 
 
 @pytest.mark.parametrize("longest, share, top", [(5, 100, 2000), (3, 60, 10), (2, 100, 5)])
