@@ -26,8 +26,8 @@ _FOLD = bytes.maketrans(
 # Words that a task holds before it hands over their counts, and bytes of text it splits at once.
 _CHUNK_WORDS = 700_000
 _BLOCK_BYTES = 1_000_000
-# Bits of the filter of frequent words and pairs: so many for each, within these bounds (16 MB at most). A rare pair that
-# shares a bit with a frequent one makes a longer window, and mostly one of its own.
+# Bits of the filter of frequent words, pairs and triples: so many for each, within these bounds (16 MB at most). A rare one
+# that shares a bit with a frequent one makes a longer window, and mostly one of its own.
 _SLOT_SHARE = 128
 _FILTER_BITS = (16, 27)
 _SLOT_BITS = 48
@@ -104,21 +104,29 @@ def _pair_slots(h: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return _mixed(h[a] * np.uint64(0x9E3779B97F4A7C15) + h[b])
 
 
+def _triple_slots(h: np.ndarray, a: np.ndarray, b: np.ndarray, c: np.ndarray) -> np.ndarray:
+    return _mixed((h[a] * np.uint64(0x9E3779B97F4A7C15) + h[b]) * np.uint64(0xC2B2AE3D27D4EB4F) + h[c])
+
+
 def _slot_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(slot, n): how often the words and the pairs of neighbouring words of one slot occur."""
+    """(slot, n): how often the words and the runs of two and three neighbouring words of one slot occur."""
+
+    def counted(slots: np.ndarray, n: np.ndarray) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array(slots.astype(np.int64)), pa.array(n.astype(np.int64))], ["slot", "n"])
+
     for lang, words, ids in _chunks(batches):
         h = _hashes(lang, words)
-        counts = np.bincount(ids, minlength=len(words))[1:]
+        yield counted(_mixed(h[1:]), np.bincount(ids, minlength=len(words))[1:])
         inside = (ids[:-1] > 0) & (ids[1:] > 0)
-        codes, pairs = pd.factorize(ids[:-1][inside].astype(np.int64) << 32 | ids[1:][inside])
-        pair_slots = _pair_slots(h, pairs >> 32, pairs & 0xFFFFFFFF)
-        slots = np.concatenate([_mixed(h[1:]), pair_slots]).astype(np.int64)
-        n = np.concatenate([counts, np.bincount(codes, minlength=len(pairs))]).astype(np.int64)
-        yield pa.RecordBatch.from_arrays([pa.array(slots), pa.array(n)], ["slot", "n"])
+        codes, slots = pd.factorize(_pair_slots(h, ids[:-1][inside], ids[1:][inside]))
+        yield counted(slots, np.bincount(codes, minlength=len(slots)))
+        inside = inside[:-1] & inside[1:]
+        codes, slots = pd.factorize(_triple_slots(h, ids[:-2][inside], ids[1:-1][inside], ids[2:][inside]))
+        yield counted(slots, np.bincount(codes, minlength=len(slots)))
 
 
 def _frequent_slots(texts: DataFrame, min_count: int) -> np.ndarray:
-    """A bit for each slot, folded to the size of the filter, of the words and pairs that occur `min_count` times."""
+    """A bit for each slot, folded to the size of the filter, of the words, pairs and triples that occur `min_count` times."""
     found = texts.mapInArrow(_slot_counts, "slot bigint, n bigint").groupBy("slot").agg(F.sum("n").alias("n"))
     found = stored(found.filter(F.col("n") >= min_count).select("slot"), "frequent-slots")
     size = min(max((_SLOT_SHARE * found.count()).bit_length(), _FILTER_BITS[0]), _FILTER_BITS[1])
@@ -138,8 +146,8 @@ def _holds(bits: np.ndarray, slots: np.ndarray) -> np.ndarray:
 def _lead_windows(sent, longest: int):
     """Windows from each word to the `longest`-th from it: columns w1, w2, ... lead by 0, 1, ... words.
 
-    They are padded with '' from the first word or pair on that the filter lacks and from the end of the piece on; equal
-    ones of a chunk are one row with their number.
+    They are padded with '' from the first word, pair or triple on that the filter lacks and from the end of the piece on;
+    equal ones of a chunk are one row with their number.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -153,11 +161,16 @@ def _lead_windows(sent, longest: int):
             linked = np.zeros(len(ids), bool)
             both = np.flatnonzero(whole[:-1] & whole[1:])
             linked[both] = _holds(bits, _pair_slots(h, ids[both], ids[both + 1]))
+            tripled = np.zeros(len(ids), bool)
+            both = np.flatnonzero(linked[:-1] & linked[1:])
+            tripled[both] = _holds(bits, _triple_slots(h, ids[both], ids[both + 1], ids[both + 2]))
             columns = [np.where(whole, ids, 0)[starts]]
             alive = whole[starts]
             for k in range(1, longest):
                 before = starts + k - 1
                 alive = alive & linked[np.minimum(before, len(ids) - 1)]
+                if k > 1:
+                    alive = alive & tripled[np.minimum(before - 1, len(ids) - 1)]
                 columns.append(np.where(alive, ids[np.minimum(before + 1, len(ids) - 1)], 0))
             code = columns[0].astype(np.int64)
             for c in columns[1:]:
@@ -178,8 +191,8 @@ def phrase_counts(docs: DataFrame, text_col: str, lang_col: str, min_count: int,
     `min_count` times, single words among them.
 
     Only the longest windows are counted; ROLLUP adds them up for their shorter beginnings, down to the language. A window
-    ends early where the phrase cannot be frequent, as it holds a word or a pair of words that is not: a filter of hashed
-    words and pairs says so, which never lacks a frequent one. What it lets through by mistake is counted like the rest.
+    ends early where the phrase cannot be frequent, as it holds a word, a pair or a triple of words that is not: a filter of
+    hashed ones says so, which never lacks a frequent one. What it lets through by mistake is counted like the rest.
     """
     spark = docs.sparkSession
     texts = docs.select(
