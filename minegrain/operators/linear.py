@@ -23,6 +23,9 @@ from minegrain.operators.sampling import hashed_folds
 from minegrain.operators.trainer import REGRESSION, JointProblem, Problem, design, minimise
 from minegrain.runtime import check_driver_cells
 
+# Most classes that are found from labels.
+MAX_CLASSES = 10_000
+
 
 @dataclass
 class LinearModel:
@@ -69,9 +72,17 @@ def class_counts(rows: DataFrame, label: str = "label") -> DataFrame:
     return rows.groupBy(label).agg(F.count(F.lit(1)).alias("n"))
 
 
+def distinct_labels(rows: DataFrame) -> list[float]:
+    """Labels ascending; more than MAX_CLASSES raise an error, as a continuous label would have."""
+    found = rows.select("label").distinct().limit(MAX_CLASSES + 1).collect()
+    if len(found) > MAX_CLASSES:
+        raise ValueError(f"more than {MAX_CLASSES} different labels")
+    return sorted(float(r[0]) for r in found)
+
+
 def ordered_labels(rows: DataFrame) -> list[float]:
     """Labels ascending, but +1 before -1."""
-    labels = sorted(float(r[0]) for r in rows.select("label").distinct().collect())
+    labels = distinct_labels(rows)
     return [1.0, -1.0] if labels == [-1.0, 1.0] else labels
 
 
@@ -82,7 +93,7 @@ def append_bias(rows: DataFrame, bias: float = 1.0) -> DataFrame:
 
 def one_hot_labels(rows: DataFrame, classes: list[float] | None = None) -> DataFrame:
     if classes is None:
-        classes = sorted(r[0] for r in rows.select("label").distinct().collect())
+        classes = distinct_labels(rows)
     hot = F.transform(F.array(*[F.lit(c) for c in classes]), lambda c: (c == F.col("label")).cast("int"))
     return rows.withColumn("one_hot", hot)
 

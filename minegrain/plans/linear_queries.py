@@ -223,20 +223,81 @@ def _zero_one(spark, sf):
     return inp.binary_rows(spark, sf).withColumn("label", (F.col("label") > 0).cast("double"))
 
 
-@query("binary_logreg_sga")
+def _sga_places(rows_sql: str, batch: int) -> str:
+    """placed (label, x, batch_id, batches): rows of full batches in order of their ids, from (row_id, label, x)."""
+    return f"""placed as materialized (
+      select label, x, i // {batch} as batch_id, n // {batch} as batches from (
+        select label, x, row_number() over (order by row_id) - 1 as i, count(*) over () as n from ({rows_sql}))
+      where i // {batch} < n // {batch})"""
+
+
+def _logistic_steps(batch: int, epochs: int) -> str:
+    """steps (t, w): weights of the two-class model after t batches, by recursion; x ends with the bias feature."""
+    return f"""steps(t, w) as (
+      select 0, list_transform(range({DIM + 1}), lambda i: cast(0.5 as double))
+      union all
+      select t + 1, list(w[f] + 0.5 / sqrt(t + 1) * g / {batch} order by f) from (
+        select t, w, f, sum(d * x[f]) as g from (
+          select t, w, x, label - 1 / (1 + exp(-list_dot_product(x, w))) as d
+          from steps join placed on batch_id = t % batches where t < {epochs} * batches),
+          range(1, {DIM + 2}) c(f)
+        group by t, w, f)
+      group by t)"""
+
+
+_ZERO_ONE = "select row_id, case when label < 5 then 1.0 else 0.0 end as label, list_append(features, 1.0) as x"
+
+
+@query(
+    "binary_logreg_sga",
+    f"""with recursive {ROWS}, {_sga_places(f"{_ZERO_ONE} from rows", 100)}, {_logistic_steps(100, 5)},
+    final as (select w from steps order by t desc limit 1)
+    select cast(1 as double) as class, cast(f as integer) as feature, {r6('w[f]', 4)} as w from final, range(1, {DIM + 2}) c(f)""",
+)
 def binary_logreg_sga(spark, sf):
-    return _frame(sga.binary_logreg_sga(_zero_one(spark, sf), batch=100, epochs=2), spark)
+    return _frame(sga.binary_logreg_sga(_zero_one(spark, sf), batch=100), spark)
 
 
-@query("pairwise_logreg")
+@query(
+    "pairwise_logreg",
+    f"""with recursive {ROWS}, {_sga_places("select row_id, case when label < 5 then 1 else 0 end as label, features as x from rows", 100)},
+    steps(t, u, v) as (
+      select 0, list_transform(range({DIM}), lambda i: cast(0.5 as double)), list_transform(range({DIM}), lambda i: cast(0.5 as double))
+      union all
+      select t + 1, list(u[f] + 0.01 / sqrt(t + 1) * (-g - u[f]) order by f), list(v[f] + 0.01 / sqrt(t + 1) * (g - v[f]) order by f) from (
+        select t, u, v, f, sum(d * x[f]) as g from (
+          select t, u, v, x, label - 1 / (1 + exp(list_dot_product(x, u) - list_dot_product(x, v))) as d
+          from steps join placed on batch_id = t % batches where t < 100 * batches),
+          range(1, {DIM + 1}) c(f)
+        group by t, u, v, f)
+      group by t),
+    final as (select u, v from steps order by t desc limit 1)
+    select cast(-1 as double) as class, cast(f as integer) as feature, {r6('u[f]', 4)} as w from final, range(1, {DIM + 1}) c(f)
+    union all
+    select 1.0, cast(f as integer), {r6('v[f]', 4)} from final, range(1, {DIM + 1}) c(f)""",
+)
 def pairwise_logreg(spark, sf):
-    return _frame(sga.pairwise_logreg(inp.binary_rows(spark, sf), L=1.0, batch=100, eta0=0.01, epochs=2), spark)
+    return _frame(sga.pairwise_logreg(inp.binary_rows(spark, sf), L=1.0, batch=100, eta0=0.01), spark)
 
 
-@query("learning_curve")
+@query(
+    "learning_curve",
+    f"""with recursive {ROWS}, drawn as (
+      select *, {" + ".join(f"cast(u < {t!r} as integer)" for t in sm.poisson_tails(0.2))} as draws
+      from (select *, {inp.uniform_sql(5, 'row_id')} as u from rows)),
+    sides as materialized (
+      {_ZERO_ONE}, draws = 0 as train from drawn where draws = 0
+      union all {_ZERO_ONE}, false from (select *, unnest(range(draws)) from drawn where draws > 0)),
+    {_sga_places("select row_id, label, x from sides where train", 100)}, {_logistic_steps(100, 5)},
+    errors as (
+      select t - 1 as step, train, avg(abs(cast(list_dot_product(x, w) > 0 as integer) - label)) as err
+      from (select * from steps where t > 0 and (t - 1) % 3 = 0), sides group by 1, 2)
+    select cast(step as integer) as step, {r6('max(err) filter (train)')} as train_err, {r6('max(err) filter (not train)')} as test_err
+    from errors group by step""",
+)
 def learning_curve(spark, sf):
     train, test = sm.holdout_split(_zero_one(spark, sf), 0.2, seed=5)
-    curve = sga.learning_curve(cut_lineage(train), cut_lineage(test), every=3, batch=100, epochs=2)
+    curve = sga.learning_curve(cut_lineage(train), cut_lineage(test), every=3, batch=100)
     return curve.withColumn("train_err", rounded("train_err")).withColumn("test_err", rounded("test_err"))
 
 

@@ -218,6 +218,62 @@ def test_binary_sga_single_rows(spark, data):
     np.testing.assert_allclose(model.weights[0], w)
 
 
+def ascend_softmax(x, y, classes, L, batch, eta0, epochs):
+    w, t = np.full((len(classes), x.shape[1]), 0.5), 0
+    for _ in range(epochs):
+        for b in range(len(x) // batch):
+            part, label = x[b * batch : (b + 1) * batch], y[b * batch : (b + 1) * batch]
+            e = np.exp(part @ w.T)
+            p = e / e.sum(axis=1, keepdims=True)
+            t += 1
+            w = w + eta0 / np.sqrt(t) * (((label[:, None] == np.asarray(classes)) - p).T @ part - L * w)
+    return w
+
+
+@pytest.mark.parametrize("tasks, batch, n", [(1, 50, 240), (3, 60, 240), (100, 5, 15)])
+def test_tasks_in_step(spark, data, tasks, batch, n):
+    """Any number of tasks takes the steps of a plain loop, also where a batch has fewer rows than there are tasks."""
+    x, y = data[0][:n], data[2][:n]
+    model = sga.softmax_sga(rows(spark, x, y), [0.0, 1.0, 2.0], L=0.1, batch=batch, eta0=0.02, epochs=2, tasks=tasks)
+    np.testing.assert_allclose(model.weights, ascend_softmax(x, y, model.labels, 0.1, batch, 0.02, 2), atol=1e-12)
+
+
+def test_one_job_an_epoch(spark, three):
+    """The number of Spark jobs follows the epochs, not the batches."""
+
+    def jobs(batch, epochs):
+        group = f"sga-{batch}-{epochs}"
+        spark.sparkContext.setJobGroup(group, group)
+        sga.softmax_sga(three, [0.0, 1.0, 2.0], batch=batch, epochs=epochs)
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+        return len(spark.sparkContext.statusTracker().getJobIdsForGroup(group))
+
+    jobs(60, 1)  # fills the cache
+    few, many, longer = jobs(120, 1), jobs(3, 1), jobs(3, 4)
+    assert few == many and longer == many + 3
+
+
+def test_learning_curve_of_all_steps(spark, data):
+    """Errors of one pass are those of the models that the same number of steps gives."""
+    x, y = data[0], (data[1] > 0).astype(float)
+    train, test = rows(spark, x[:200], y[:200]), rows(spark, x[200:], y[200:])
+    curve = {r.step: r for r in sga.learning_curve(train, test, every=4, batch=10, epochs=1).collect()}
+    assert sorted(curve) == [0, 4, 8, 12, 16]
+    for step, r in curve.items():
+        model = sga.binary_logreg_sga(train.filter(F.col("row_id") < 10 * (step + 1)), batch=10, epochs=1)
+        z = np.column_stack([x, np.ones(len(x))]) @ model.weights[0]
+        wrong = (z > 0) != y
+        assert (r.train_err, r.test_err) == (pytest.approx(wrong[:200].mean()), pytest.approx(wrong[200:].mean()))
+
+
+def test_ascent_edges(two, monkeypatch):
+    with pytest.raises(ValueError, match="fewer rows"):
+        sga.binary_logreg_sga(two.limit(0), batch=10)
+    monkeypatch.setattr(ln, "MAX_CLASSES", 100)
+    with pytest.raises(ValueError, match="different labels"):
+        sga.softmax_sga(two.withColumn("label", F.col("row_id").cast("double")), batch=10, epochs=1)
+
+
 def test_texts_by_language(spark, sf):
     """Words of the dictionary tell languages apart, for the softmax and for the squared hinge."""
     from minegrain.operators import text as tx
