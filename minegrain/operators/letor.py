@@ -14,9 +14,12 @@ from minegrain.functions.vectors import dot, hadamard, subtract
 from minegrain.operators.factors import gather_factors
 from minegrain.operators.sga import pairwise_logreg, _shares
 from minegrain.operators.trainer import _newton, add_up
-from minegrain.runtime import cut_lineage
+from minegrain.runtime import broadcast_if_small, cut_lineage
 
-GRID_CHUNK = 1000
+# Most rows of either side of a user in one cell, and rows that a task takes up at once.
+GRID_CHUNK = 20_000
+LOT_ROWS = 50_000
+CELL = ["user_id", "hi", "lo"]
 
 
 def filter_extreme_ratings(ratings: DataFrame, keep: tuple[float, ...] = (1.0, 5.0)) -> DataFrame:
@@ -55,48 +58,150 @@ def pairwise_training_set(ratings: DataFrame, users: DataFrame, items: DataFrame
     )
 
 
-def _preference_grid(ratings: DataFrame, users: DataFrame, items: DataFrame) -> DataFrame:
-    """One row per cell of a user's grid of high-rated x low-rated items, both sides packed and at most a chunk long."""
-    rated = cut_lineage(
-        latent_pair_features(filter_extreme_ratings(ratings).select("user_id", "item_id", "rating"), users, items)
-    )
-
-    def packed(side: DataFrame, tag: str) -> DataFrame:
-        sizes = side.groupBy("user_id").agg(F.ceil(F.count(F.lit(1)) / GRID_CHUNK).cast("int").alias("chunks"))
-        cut = side.join(sizes, "user_id").withColumn("at", F.pmod(F.xxhash64("item_id"), F.col("chunks")))
-        groups = cut.groupBy("user_id", "at").agg(F.collect_list(F.struct("item_id", "x")).alias("m"))
-        return groups.select("user_id", F.col("m.item_id").alias(f"items_{tag}"), F.flatten("m.x").alias(f"x_{tag}"))
-
-    return packed(rated.filter("rating > 3"), "h").join(packed(rated.filter("rating < 3"), "l"), "user_id")
+def _preference_cells(ratings: DataFrame, users: DataFrame, items: DataFrame) -> DataFrame:
+    """Extreme ratings (user_id, hi, lo, item_id, high, x), sorted by cell inside each partition.
 
-
-def _grid_evaluation(grid: DataFrame, dim: int, C: float):
-    """Squared-hinge value, gradient and curvature over all preference pairs, without making a row per pair."""
+    A cell has the rows of one user. A user with more than GRID_CHUNK rows on a side is dealt to a grid of cells by item,
+    where every row of one side meets every row of the other one in exactly one cell.
+    """
+    rated = latent_pair_features(filter_extreme_ratings(ratings).select("user_id", "item_id", "rating"), users, items)
+    rated = cut_lineage(rated.select("user_id", "item_id", (F.col("rating") > 3).alias("high"), "x"))
+    sizes = rated.groupBy("user_id").agg(F.count_if("high").alias("n_high"), F.count_if(~F.col("high")).alias("n_low"))
+    hot = sizes.filter((F.col("n_high") > GRID_CHUNK) | (F.col("n_low") > GRID_CHUNK))
+
+    def chunks(n: str):
+        return F.greatest(F.ceil(F.coalesce(F.col(n), F.lit(0)) / GRID_CHUNK), F.lit(1)).cast("int")
+
+    cut = rated.join(broadcast_if_small(hot), "user_id", "left").withColumns({"his": chunks("n_high"), "los": chunks("n_low")})
+    own = F.pmod(F.xxhash64(F.lit("cell"), "item_id"), F.when(F.col("high"), F.col("his")).otherwise(F.col("los"))).cast("int")
+    other = F.when(F.col("high"), F.col("los")).otherwise(F.col("his"))
+    dealt = cut.withColumn("own", own).withColumn("other", F.explode(F.sequence(F.lit(0), other - 1)))
+    cells = dealt.select(
+        "user_id",
+        F.when(F.col("high"), F.col("own")).otherwise(F.col("other")).alias("hi"),
+        F.when(F.col("high"), F.col("other")).otherwise(F.col("own")).alias("lo"),
+        "item_id",
+        "high",
+        "x",
+    )
+    return cells.repartition(*CELL).sortWithinPartitions(*CELL)
+
+
+def _whole_cells(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """Rows sorted by cell, in lots that end where a cell ends, with the cell's number in the lot as `cell`."""
+
+    def numbered(parts: list[pd.DataFrame]) -> pd.DataFrame:
+        pdf = pd.concat(parts, ignore_index=True)
+        start = (pdf[CELL] != pdf[CELL].shift()).any(axis=1)
+        return pdf.assign(cell=start.cumsum() - 1)
+
+    waiting: list[pd.DataFrame] = []
+    enough = LOT_ROWS
+    for pdf in batches:
+        waiting.append(pdf)
+        if sum(map(len, waiting)) < enough:
+            continue
+        lot = numbered(waiting)
+        last = lot["cell"] == lot["cell"].iloc[-1]
+        if not last.all():
+            yield lot[~last]
+        waiting = [lot[last].drop(columns="cell")]
+        enough = max(LOT_ROWS, 2 * len(waiting[0]))
+    if waiting and any(map(len, waiting)):
+        yield numbered(waiting)
+
+
+def pairwise_sums(cell, item, high, x, weights: np.ndarray, offset: float, curvature: bool):
+    """Value, gradient and curvature of max(0, 1 - w.(x_h - x_l) - offset * side)^2 over the high x low pairs of each cell.
+
+    side is 1 where the high item has the lower id, else -1. A cell's rows in id order are halved again and again: between
+    the halves side is fixed, so the pairs of a row that fall short are one end of the other half in score order, and
+    prefix sums give their number, scores and features. n rows take n log(n)^2 steps instead of a step per pair.
+    """
+    order = np.lexsort((high, item, cell))
+    cell, high, x = cell[order], high[order], x[order]
+    n, dim = x.shape
+    score = x @ weights
+    first = np.flatnonzero(np.r_[True, cell[1:] != cell[:-1]])
+    size = np.diff(np.r_[first, n])
+    place = np.arange(n) - np.repeat(first, size)
+    size = np.repeat(size, size)
+    value, edge_pull = 0.0, 0.0
+    pull, pairs, sided = np.zeros(n), np.zeros(n), np.zeros(n)
+    cross = np.zeros((dim, dim))
+    level = 0
+    while size.max() > 1 << level:
+        at = np.flatnonzero(size > 1 << level)
+        up = high[at]
+        # Low rows of the later half stand against high rows of the earlier one (side 1) and the other way round.
+        opposed = ((place[at] >> level) & 1) ^ ~up
+        side = np.where(opposed, -1.0, 1.0)
+        key = score[at] - np.where(up, 1.0 - offset * side, 0.0)
+        block = place[at] >> level + 1
+        by = np.lexsort((up, key, opposed, block, cell[at]))
+        at, up, side, key, group = at[by], up[by], side[by], key[by], (cell[at[by]], block[by], opposed[by])
+        starts = np.r_[True, np.any([g[1:] != g[:-1] for g in group], axis=0)]
+        begin = np.flatnonzero(starts)[np.cumsum(starts) - 1]
+        end = np.r_[np.flatnonzero(starts)[1:], len(at)][np.cumsum(starts) - 1]
+
+        def before(v: np.ndarray) -> np.ndarray:
+            return np.concatenate([np.zeros((1, *v.shape[1:])), np.cumsum(v, axis=0)])
+
+        def later(v: np.ndarray) -> np.ndarray:
+            """Sum over the low rows above each high row."""
+            total = before(np.where(up.reshape(-1, *[1] * (v.ndim - 1)), 0.0, v))
+            return total[end[up]] - total[np.flatnonzero(up)]
+
+        def earlier(v: np.ndarray) -> np.ndarray:
+            """Sum over the high rows below each low row."""
+            total = before(np.where(up, v, 0.0))
+            return total[np.flatnonzero(~up)] - total[begin[~up]]
+
+        one = np.ones(len(at))
+        many, scores, own = later(one), later(key), key[up]
+        short = scores - many * own
+        value += (later(key * key) - 2.0 * own * scores + many * own * own).sum()
+        edge_pull += (side[up] * short).sum()
+        pull[at[up]] += short
+        few = earlier(one)
+        pull[at[~up]] -= few * key[~up] - earlier(key)
+        if curvature:
+            pairs[at[up]] += many
+            pairs[at[~up]] += few
+            sided[at[up]] += side[up] * many
+            sided[at[~up]] -= side[~up] * few
+            cross += x[at[up]].T @ later(x[at])
+        level += 1
+    grad = -2.0 * np.append(pull @ x, edge_pull)
+    if not curvature:
+        return value, grad, None
+    hess = np.empty((dim + 1, dim + 1))
+    hess[:dim, :dim] = (x.T * pairs) @ x - cross - cross.T
+    hess[dim, :dim] = hess[:dim, dim] = sided @ x
+    hess[dim, dim] = pairs[high].sum()
+    return value, grad, 2.0 * hess
+
+
+def _pairwise_evaluation(cells: DataFrame, dim: int, C: float):
+    """Squared-hinge value, gradient and curvature over all preference pairs, without a step per pair."""
     width = dim + 1
 
     def evaluate(w: np.ndarray, curvature: bool):
+        weights, offset = w[0, :dim], w[0, dim]
+
         def partial(batches: Iterator[pd.DataFrame]) -> np.ndarray:
-            value, grad, hess = 0.0, np.zeros(width), np.zeros((width, width))
-            weights, offset = w[0, :dim], w[0, dim]
-            for pdf in batches:
-                for t in pdf.itertuples(index=False):
-                    xh, xl = np.reshape(t.x_h, (-1, dim)), np.reshape(t.x_l, (-1, dim))
-                    side = np.where(np.asarray(t.items_h)[:, None] < np.asarray(t.items_l)[None, :], 1.0, -1.0)
-                    short = np.maximum(1.0 - (xh @ weights)[:, None] + (xl @ weights)[None, :] - offset * side, 0.0)
-                    value += C * (short * short).sum()
-                    pull, active = -2.0 * C * short, 2.0 * C * (short > 0)
-                    grad[:dim] += pull.sum(axis=1) @ xh - pull.sum(axis=0) @ xl
-                    grad[dim] += (pull * side).sum()
-                    if curvature:
-                        cross = xh.T @ active @ xl
-                        hess[:dim, :dim] += (xh.T * active.sum(axis=1)) @ xh + (xl.T * active.sum(axis=0)) @ xl - cross - cross.T
-                        edge = (active * side).sum(axis=1) @ xh - (active * side).sum(axis=0) @ xl
-                        hess[:dim, dim] += edge
-                        hess[dim, :dim] += edge
-                        hess[dim, dim] += active.sum()
-            return np.concatenate([[value], grad, hess.ravel()])
-
-        total = add_up(grid, partial)
+            total = np.zeros(1 + width + width * width)
+            for lot in _whole_cells(batches):
+                x = np.concatenate(lot["x"].to_list()).reshape(-1, dim)
+                columns = (lot[c].to_numpy() for c in ("cell", "item_id", "high"))
+                value, grad, hess = pairwise_sums(*columns, x, weights, offset, curvature)
+                total[0] += value
+                total[1 : 1 + width] += grad
+                if curvature:
+                    total[1 + width :] += hess.ravel()
+            return C * total
+
+        total = add_up(cells, partial)
         return total[:1], total[1 : 1 + width][None, :], total[1 + width :].reshape(1, width, width)
 
     return evaluate
@@ -105,8 +210,8 @@ def _grid_evaluation(grid: DataFrame, dim: int, C: float):
 def rank_svm_weights(ratings: DataFrame, users: DataFrame, items: DataFrame, C: float = 0.002) -> np.ndarray:
     """Squared-hinge weights over all preference pairs; a regularised bias feature of 1 is trained and left out."""
     dim = users.select(F.size("f")).first()[0]
-    grid = cut_lineage(_preference_grid(ratings, users, items))
-    w = _newton(_grid_evaluation(grid, dim, C), np.zeros((1, dim + 1)), False, None, 100)
+    cells = cut_lineage(_preference_cells(ratings, users, items))
+    w = _newton(_pairwise_evaluation(cells, dim, C), np.zeros((1, dim + 1)), False, None, 100)
     return w[0, :dim]
 
 

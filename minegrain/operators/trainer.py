@@ -7,6 +7,7 @@ Newton steps (a handful of passes), many take limited-memory quasi-Newton steps.
 
 from __future__ import annotations
 
+import warnings
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass, field
 
@@ -304,6 +305,17 @@ def _l1_direction(w: np.ndarray, grad: np.ndarray, hess: np.ndarray, sweeps: int
     return d
 
 
+class NotConverged(RuntimeWarning):
+    """A fit ended at its limit of passes above its tolerance; its weights are those of the last pass."""
+
+
+def _warn_at_limit(violation: np.ndarray, tolerance: np.ndarray, passes: int) -> None:
+    above = violation > tolerance
+    if above.any():
+        worst = (violation / tolerance).max()
+        warnings.warn(f"{above.sum()} of {len(above)} models at {worst:.3g} x tolerance after {passes} passes", NotConverged, 3)
+
+
 def _newton(evaluate, w: np.ndarray, l1: bool, tolerance: np.ndarray | None, max_passes: int, relative: float = 1e-7):
     def objective(e: Evaluation, at: np.ndarray) -> np.ndarray:
         return e[0] + (np.abs(at).sum(axis=1) if l1 else 0.0)
@@ -333,6 +345,8 @@ def _newton(evaluate, w: np.ndarray, l1: bool, tolerance: np.ndarray | None, max
         now = tuple(np.where(good.reshape((-1,) + (1,) * (b.ndim - 1)), b, a) for a, b in zip(now, then))
         step = np.where(good, 1.0, np.where(active, step / 2.0, step))
         fresh = good
+    else:
+        _warn_at_limit(_violation(w, now[1], l1), tolerance, max_passes)
     return w
 
 
@@ -387,6 +401,8 @@ def _quasi_newton(
         if s @ y > 1e-12 * (y @ y):
             pairs = [*pairs, (s, y)][-memory:]
         x, value, grad = trial, new_value, new_grad
+    if passes >= max_passes:
+        _warn_at_limit(_violation(x.reshape(shape), grad.reshape(shape), l1), tolerance, passes)
     return x.reshape(shape)
 
 

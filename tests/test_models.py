@@ -169,6 +169,17 @@ def test_search_c(two):
         ln.search_c(two, "hinge")
 
 
+def test_a_limit_on_passes_is_no_silent_end(two, recwarn):
+    from minegrain.operators import trainer
+
+    problem = trainer.Problem(two, 5, "squared_hinge", np.array([1.0]), np.array([1.0]), np.array([1.0]), np.array([-1]))
+    with pytest.warns(trainer.NotConverged, match="after 1 passes"):
+        trainer.minimise(problem, max_passes=1)
+    recwarn.clear()
+    trainer.minimise(problem)
+    assert not [w for w in recwarn if w.category is trainer.NotConverged]
+
+
 def test_arguments_are_checked(two):
     with pytest.raises(ValueError):
         ln.linear_l2_squared_hinge(two, C=0.0)

@@ -346,9 +346,59 @@ def test_rank_svm_equals_training_on_pair_rows(spark, monkeypatch):
     direct = ln.linear_l2_squared_hinge(rows, C=0.05, bias=1.0, eps=1e-9).weights[0, :3]
     np.testing.assert_allclose(lt.rank_svm_weights(ratings, users, items, C=0.05), direct, atol=1e-5)
     monkeypatch.setattr(lt, "GRID_CHUNK", 4)
+    monkeypatch.setattr(lt, "LOT_ROWS", 10)
     np.testing.assert_allclose(lt.rank_svm_weights(ratings, users, items, C=0.05), direct, atol=1e-5)
 
 
+@pytest.mark.parametrize("n, cells, ids", [(1, 1, 3), (2, 1, 3), (150, 1, 40), (200, 9, 500), (200, 60, 4)])
+def test_pairwise_sums_against_every_pair(n, cells, ids):
+    """Repeated ids and scores that tie, cells with one side only, cells of one row."""
+    rng = np.random.default_rng(n + cells)
+    cell, item, high = np.sort(rng.integers(0, cells, n)), rng.integers(0, ids, n), rng.random(n) < 0.5
+    x, w, offset = rng.integers(0, 5, (n, 3)) / 4.0, np.array([2.0, -1.0, 0.5]), 0.25
+    value, grad, hess = 0.0, np.zeros(4), np.zeros((4, 4))
+    for i in np.flatnonzero(high):
+        for j in np.flatnonzero(~high & (cell == cell[i])):
+            d = np.append(x[i] - x[j], 1.0 if item[i] < item[j] else -1.0)
+            short = 1.0 - d @ np.append(w, offset)
+            if short > 0:
+                value, grad, hess = value + short * short, grad - 2.0 * short * d, hess + 2.0 * np.outer(d, d)
+    shuffled = rng.permutation(n)
+    found = lt.pairwise_sums(cell[shuffled], item[shuffled], high[shuffled], x[shuffled], w, offset, True)
+    for a, b in zip(found, (value, grad, hess)):
+        np.testing.assert_allclose(a, b, atol=1e-9)
+
+
+def test_hot_user_is_dealt_to_cells_of_many_tasks(spark, monkeypatch):
+    """One user with nearly all ratings: cells are bounded, hold each high x low pair once, and lie in several tasks."""
+    monkeypatch.setattr(lt, "GRID_CHUNK", 50)
+    spread = F.when(F.pmod(F.xxhash64("id"), F.lit(2)) == 0, 1.0).otherwise(5.0)
+    user = F.when(F.col("id") < 590, 0).otherwise(1).alias("user_id")
+    ratings = spark.range(600).select(user, F.col("id").alias("item_id"), spread.alias("rating"))
+    users = spark.createDataFrame([(0, [1.0]), (1, [2.0])], "id long, f array<double>")
+    items = spark.range(600).select("id", F.array(F.col("id") / 600.0).alias("f"))
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")  # so small a table would be one task
+    try:
+        cells = lt._preference_cells(ratings, users, items).withColumn("task", F.spark_partition_id()).toPandas()
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    assert cells["task"].nunique() > 1
+    sides = cells.groupby([*lt.CELL, "high"]).size().unstack(fill_value=0)
+    assert sides.to_numpy().max() <= 100  # chunks by hash are near 50
+    for user in (0, 1):
+        own = cells[cells["user_id"] == user]
+        met = own[own["high"]].merge(own[~own["high"]], on=lt.CELL)[["item_id_x", "item_id_y"]]
+        n = own[own["high"]]["item_id"].nunique() * own[~own["high"]]["item_id"].nunique()
+        assert len(met) == len(met.drop_duplicates()) == n > 0
+
+
+def test_ratings_without_both_sides_train_nothing(spark):
+    """Users with one side only have no pairs: weights are zero."""
+    ratings = spark.createDataFrame([(0, 0, 5.0), (1, 0, 1.0)], "user_id long, item_id long, rating double")
+    factors = spark.createDataFrame([(0, [1.0, 2.0]), (1, [0.5, 1.0])], "id long, f array<double>")
+    assert not lt.rank_svm_weights(ratings, factors, factors).any()
+
+
 def test_small_products_stay(spark):
     from minegrain.operators.matrix import sparse_matmul
 
