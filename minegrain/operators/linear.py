@@ -36,6 +36,7 @@ class LinearModel:
     n_features: int
     bias: float
     weights: np.ndarray  # (models, n_features + 1 if bias >= 0)
+    gap: np.ndarray | None = None  # after a fit with a kinked loss: how far objectives are above the optimum at most
 
     @property
     def two_class(self) -> bool:
@@ -149,8 +150,9 @@ def _train(
         if loss == "crammer_singer":
             ascending = np.array(sorted(labels))
             cost = C * np.array([weight.get(c, 1.0) for c in ascending])
-            w = minimise(JointProblem(rows, n_features, ascending, cost, bias)).reshape(len(ascending), -1)
-            return LinearModel(loss, list(ascending), n_features, bias, w)
+            joint = JointProblem(rows, n_features, ascending, cost, bias)
+            w = minimise(joint).reshape(len(ascending), -1)
+            return LinearModel(loss, list(ascending), n_features, bias, w, joint.gap)
         if not labels:
             one, rest, positive = np.array([C]), np.array([C]), np.array([0.0])
         elif len(labels) == 2 and not one_vs_rest:
@@ -161,7 +163,7 @@ def _train(
             rest, positive = np.full(len(labels), C), np.array(labels)
         problem = Problem(rows, n_features, loss, positive, one, rest, np.full(len(positive), -1), bias, p, l1)
         w = minimise(problem, tolerance=_start_tolerance(problem, rows, labels[: len(positive)], eps))
-        return LinearModel(loss, list(labels), n_features, bias, w)
+        return LinearModel(loss, list(labels), n_features, bias, w, problem.gap)
     finally:
         rows.unpersist()
 

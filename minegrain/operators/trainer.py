@@ -24,7 +24,9 @@ _CHUNK = 8192
 _ROWS_PER_LOT = 2048
 NEWTON_LIMIT = 800
 CURVATURE_CELLS = 4_000_000
-SMOOTHING = (0.5, 0.1, 0.02, 0.004, 0.001)
+SMOOTHING = (0.5, 0.1, 0.02, 0.004, 0.001, 0.00025, 0.00006, 0.000015)
+# Largest duality gap, as a share of the objective, at which a fit with a kinked loss ends.
+GAP = 1e-4
 
 Evaluation = tuple[np.ndarray, np.ndarray, np.ndarray | None]
 
@@ -130,6 +132,13 @@ def loss_terms(loss: str, z: np.ndarray, y: np.ndarray, p: float, mu: float):
     return over[0] + under[0], over[1] - under[1], over[2] + under[2]
 
 
+def bound_terms(loss: str, z: np.ndarray, y: np.ndarray, p: float, slope: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The loss itself, and the height at z = 0 of its lower bound of the given slope (within the loss's own slopes)."""
+    if loss == "hinge":
+        return np.maximum(1.0 - y * z, 0.0), -y * slope
+    return np.maximum(np.abs(z - y) - p, 0.0), -slope * y - p * np.abs(slope)
+
+
 SMOOTHED = ("hinge", "eps", "crammer_singer")
 REGRESSION = ("squared_eps", "eps")
 
@@ -149,6 +158,7 @@ class Problem:
     bias: float = -1.0
     p: float = 0.1
     l1: bool = False
+    gap: np.ndarray | None = None  # of a fit with a kinked loss: objective minus dual objective, per model
 
     @property
     def width(self) -> int:
@@ -165,13 +175,20 @@ class Problem:
         return self.width <= NEWTON_LIMIT and self.models * self.width**2 <= CURVATURE_CELLS
 
     def evaluate(self, w: np.ndarray, mu: float, curvature: bool) -> Evaluation:
+        return _split(self._sums(w, mu, curvature), *w.shape, curvature)
+
+    def certificate(self, w: np.ndarray, mu: float) -> tuple[np.ndarray, np.ndarray]:
+        return _bounds(self._sums(w, mu, False, True), w)
+
+    def _sums(self, w: np.ndarray, mu: float, curvature: bool, certify: bool = False) -> np.ndarray:
+        """Value, gradient and curvature in a row; to certify, values without smoothing, gradient and heights of bounds."""
         m, width = w.shape
         loss, p, n_features, bias = self.loss, self.p, self.n_features, self.bias
         positive, cost, rest, held = self.positive, self.cost, self.cost_rest, self.held_out
         sent = self.rows.sparkSession.sparkContext.broadcast(w)
 
         def partial(batches: Iterator[pd.DataFrame]) -> np.ndarray | None:
-            value, grad = np.zeros(m), np.zeros((m, width))
+            value, grad, height = np.zeros(m), np.zeros((m, width)), np.zeros(m)
             hess = np.zeros((m, width, width)) if curvature else None
             for pdf in lots(batches):
                 x, label = design(pdf, n_features, bias, curvature), pdf["label"].to_numpy()[:, None]
@@ -182,17 +199,21 @@ class Problem:
                     y, c = np.where(own, 1.0, -1.0), np.where(own, cost, rest)
                 if "fold" in pdf:
                     c = np.where(pdf["fold"].to_numpy()[:, None] == held[None, :], 0.0, c)
-                v, slope, bend = loss_terms(loss, x @ sent.value.T, y, p, mu)
+                z = x @ sent.value.T
+                v, slope, bend = loss_terms(loss, z, y, p, mu)
+                if certify:
+                    v, above = bound_terms(loss, z, y, p, slope)
+                    height += (c * above).sum(axis=0)
                 value += (c * v).sum(axis=0)
                 grad += (c * slope).T @ x
                 if curvature:
                     for j in range(m):
                         hess[j] += (x * (c[:, j] * bend[:, j])[:, None]).T @ x
-            return np.concatenate([value, grad.ravel()] + ([hess.ravel()] if curvature else []))
+            return np.concatenate([value, grad.ravel(), *([hess.ravel()] if curvature else []), *([height] if certify else [])])
 
         total = add_up(self.rows, partial)
         sent.unpersist()
-        return _split(total, m, width, curvature)
+        return total
 
 
 @dataclass
@@ -207,6 +228,7 @@ class JointProblem:
     loss: str = "crammer_singer"
     l1: bool = False
     held_out: np.ndarray = field(default_factory=lambda: np.array([-1]))
+    gap: np.ndarray | None = None
 
     @property
     def width(self) -> int:
@@ -223,13 +245,20 @@ class JointProblem:
         return self.width <= NEWTON_LIMIT and self.models * self.width**2 <= CURVATURE_CELLS
 
     def evaluate(self, w: np.ndarray, mu: float, curvature: bool) -> Evaluation:
+        return _split(self._sums(w, mu, curvature), *w.shape, curvature)
+
+    def certificate(self, w: np.ndarray, mu: float) -> tuple[np.ndarray, np.ndarray]:
+        return _bounds(self._sums(w, mu, False, True), w)
+
+    def _sums(self, w: np.ndarray, mu: float, curvature: bool, certify: bool = False) -> np.ndarray:
+        """As for separate models."""
         g, k, width = self.models, len(self.labels), self.width
         n_features, bias, labels, cost, held = self.n_features, self.bias, self.labels, self.cost, self.held_out
         sent = self.rows.sparkSession.sparkContext.broadcast(w.reshape(g, k, -1))
 
         def partial(batches: Iterator[pd.DataFrame]) -> np.ndarray | None:
             f = sent.value.shape[2]
-            value, grad = np.zeros(g), np.zeros((g, k, f))
+            value, grad, height = np.zeros(g), np.zeros((g, k, f)), np.zeros(g)
             hess = np.zeros((g, k, f, k, f)) if curvature else None
             for pdf in lots(batches):
                 x = design(pdf, n_features, bias, curvature)
@@ -245,7 +274,11 @@ class JointProblem:
                     top = t.max(axis=1, keepdims=True)
                     e = np.exp((t - top) / mu)
                     share = e / e.sum(axis=1, keepdims=True)
-                    value[j] += (c * (top[:, 0] + mu * np.log(e.sum(axis=1)))).sum()
+                    if certify:
+                        value[j] += (c * top[:, 0]).sum()
+                        height[j] += (c * (1.0 - share[n, own])).sum()
+                    else:
+                        value[j] += (c * (top[:, 0] + mu * np.log(e.sum(axis=1)))).sum()
                     slope = share.copy()
                     slope[n, own] -= 1.0
                     grad[j] += (c[:, None] * slope).T @ x
@@ -257,11 +290,11 @@ class JointProblem:
                                 hess[j, a, :, b, :] += block
                                 if a != b:
                                     hess[j, b, :, a, :] += block
-            return np.concatenate([value, grad.ravel()] + ([hess.ravel()] if curvature else []))
+            return np.concatenate([value, grad.ravel(), *([hess.ravel()] if curvature else []), *([height] if certify else [])])
 
         total = add_up(self.rows, partial)
         sent.unpersist()
-        return _split(total, g, width, curvature)
+        return total
 
 
 def _split(total: np.ndarray, m: int, width: int, curvature: bool) -> Evaluation:
@@ -269,6 +302,17 @@ def _split(total: np.ndarray, m: int, width: int, curvature: bool) -> Evaluation
     return total[:m], total[m : m + m * width].reshape(m, width), hess
 
 
+def _bounds(total: np.ndarray, w: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(objective at w, a value that no weights can go below), per model.
+
+    Smoothed slopes lie within those of the loss itself, so each row has a lower bound that is linear in w; with the penalty
+    the least value of their sum is heights - g.g / 2, which is the dual objective of those slopes.
+    """
+    m, width = w.shape
+    grad = total[m : m + m * width].reshape(m, width)
+    return total[:m] + 0.5 * (w * w).sum(axis=1), total[m + m * width :] - 0.5 * (grad * grad).sum(axis=1)
+
+
 def _with_penalty(e: Evaluation, w: np.ndarray, l1: bool) -> Evaluation:
     """Add w.w / 2 to value, gradient and curvature; the L1 penalty is handled by the step."""
     if l1:
@@ -409,14 +453,24 @@ def _quasi_newton(
 def minimise(
     problem: Problem | JointProblem, start: np.ndarray | None = None, tolerance: np.ndarray | None = None, max_passes: int = 200
 ) -> np.ndarray:
-    """Weights (models x width). Losses with a kink are followed through a falling width of smoothing."""
+    """Weights (models x width).
+
+    Losses with a kink are followed through a falling width of smoothing, until the duality gap of every model is at most GAP
+    of its objective; the gaps are left in `problem.gap`. A fit that ends at its limit of passes, or above that gap, warns.
+    """
     w = problem.start() if start is None else start
     check_driver_cells(w.size, "the weight matrix")
     solver = _newton if problem.second_order() else _quasi_newton
     if problem.loss not in SMOOTHED:
         return solver(lambda at, curvature: problem.evaluate(at, 1.0, curvature), w, problem.l1, tolerance, max_passes)
+    value, _ = problem.certificate(w, SMOOTHING[0])
     for mu in SMOOTHING:
-        w = solver(
-            lambda at, curvature: problem.evaluate(at, mu, curvature), w, problem.l1, tolerance, max_passes, relative=1e-4
-        )
+        # The distance of a smoothed objective from its optimum is at most half the squared gradient.
+        inner = np.sqrt(GAP * np.maximum(value, 1e-12) / 2.0)
+        w = solver(lambda at, curvature: problem.evaluate(at, mu, curvature), w, False, inner, max_passes)
+        value, bound = problem.certificate(w, mu)
+        problem.gap = value - bound
+        if (problem.gap <= GAP * value).all():
+            return w
+    _warn_at_limit(problem.gap, GAP * value, max_passes)
     return w

@@ -124,6 +124,44 @@ def test_crammer_singer(three, data):
     assert model.weights.shape == (3, 6) and nearby(f, model.weights.ravel())
 
 
+@pytest.mark.parametrize("limit", [None, 0])
+@pytest.mark.parametrize("fit", [ln.linear_l2_hinge, ln.svr_eps, ln.multiclass_crammer_singer])
+def test_duality_gap_bounds_the_distance_from_the_optimum(two, three, numbers, data, monkeypatch, fit, limit):
+    """On both solvers: the gap ends the fit, and no better weights lie further below the objective than it says."""
+    from minegrain.operators import trainer
+
+    x, kind = data[0], fit.__name__
+    rows, y = {"linear_l2_hinge": (two, data[1]), "svr_eps": (numbers, data[3])}.get(kind, (three, data[2].astype(int)))
+
+    def f(w):
+        if kind == "linear_l2_hinge":
+            loss = np.maximum(0, 1 - y * (x @ w[0]))
+        elif kind == "svr_eps":
+            loss = np.maximum(0, np.abs(x @ w[0] - y) - 0.1)
+        else:
+            t = x @ w.T - (x @ w.T)[np.arange(len(x)), y][:, None] + 1.0
+            t[np.arange(len(x)), y] = 0.0
+            loss = t.max(axis=1)
+        return 0.5 * (w * w).sum() + C * loss.sum()
+
+    tight = fit(rows, C)
+    if limit is not None:
+        monkeypatch.setattr(trainer, "NEWTON_LIMIT", limit)
+    monkeypatch.setattr(trainer, "GAP", 0.01)
+    loose = fit(rows, C)
+    gap = float(loose.gap[0])
+    assert 0 <= f(loose.weights) - f(tight.weights) + 1e-9 and f(loose.weights) - f(tight.weights) <= gap <= 0.01 * f(loose.weights)
+    assert float(tight.gap[0]) <= 1e-4 * f(tight.weights)
+
+
+def test_a_gap_that_stays_open_warns(two, monkeypatch):
+    from minegrain.operators import trainer
+
+    monkeypatch.setattr(trainer, "SMOOTHING", (0.5,))
+    with pytest.warns(trainer.NotConverged):
+        assert ln.linear_l2_hinge(two, C).gap[0] > 0
+
+
 def test_one_vs_rest_equals_single_models(spark, three, data):
     model = ln.one_vs_rest(three, "squared_hinge", C, eps=1e-9)
     for i, label in enumerate(model.labels):
