@@ -11,7 +11,9 @@ from pyspark.sql import functions as F
 
 from minegrain.functions.ordering import chunked_pairs
 from minegrain.functions.vectors import dot, hadamard, subtract
-from minegrain.operators.factors import gather_factors
+from minegrain.operators.evaluate import ndcg_at_k
+from minegrain.operators.factors import gather_factors, pmf_fit, pmf_predict
+from minegrain.operators.sampling import union_experiments
 from minegrain.operators.sga import pairwise_logreg, _shares
 from minegrain.operators.trainer import _newton, add_up
 from minegrain.runtime import broadcast_if_small, cut_lineage
@@ -239,3 +241,45 @@ def rank_logistic(
     model = pairwise_logreg(cut_lineage(rows), L, batch, eta0, epochs)
     latent = latent_pair_features(pairs, users, items).withColumnRenamed("x", "features")
     return _shares(latent, model).withColumn("score", F.col("p")[1]).drop("features", "z", "p")
+
+
+def preference_count(ratings: DataFrame) -> int:
+    """Pairs of one user's highest and lowest ratings, counted per user, not listed."""
+    sides = filter_extreme_ratings(ratings).groupBy("user_id").agg(
+        F.count_if(F.col("rating") > 3).alias("high"), F.count_if(F.col("rating") < 3).alias("low")
+    )
+    return sides.agg(F.sum(F.col("high") * F.col("low"))).first()[0] or 0
+
+
+def ndcg_of_rankers(
+    train: DataFrame,
+    pairs: DataFrame,
+    dims: tuple[int, ...] = (10, 20, 50, 100),
+    ks: tuple[int, ...] = (10, 20, 30),
+    C: float = 0.002,
+    batch: int = 10_000,
+    **fit,
+) -> DataFrame:
+    """(dim, ranker, k, ndcg, converged): from ratings to the ranking of held-out pairs, for each number of factors.
+
+    `pairs` is (pair_id, user_id, item_id, gold). Factors come from `pmf_fit` with the options of `fit`, and `converged` is
+    theirs; rankers are the predicted rating ("pmf"), the ranking SVM ("svm") and the pairwise logistic model
+    ("logistic"). Without a pair of a highest and a lowest rating there is nothing to learn from, and an error is raised.
+    """
+    train, pairs, tables = cut_lineage(train), cut_lineage(pairs), []
+    preferences = preference_count(train)
+    if not preferences:
+        raise ValueError("no user has both a highest and a lowest rating")
+    for dim in dims:
+        model = pmf_fit(train, dim, **fit)
+        users, items = cut_lineage(model.users), cut_lineage(model.items)
+        rankings = {
+            "pmf": pmf_predict(pairs, users, items),
+            "svm": rank_svm(train, pairs, users, items, C).withColumnRenamed("score", "pred"),
+            "logistic": rank_logistic(train, pairs, users, items, min(batch, preferences)).withColumnRenamed("score", "pred"),
+        }
+        for ranker, scored in rankings.items():
+            gains = ndcg_at_k(scored, ks=ks)
+            named = (F.lit(dim).alias("dim"), F.lit(ranker).alias("ranker"), "k", "ndcg", F.lit(model.converged).alias("converged"))
+            tables.append(gains.select(*named))
+    return union_experiments(tables)

@@ -392,6 +392,32 @@ def test_hot_user_is_dealt_to_cells_of_many_tasks(spark, monkeypatch):
         assert len(met) == len(met.drop_duplicates()) == n > 0
 
 
+def test_ndcg_of_rankers(spark):
+    """From ratings to NDCG: equal to the single steps with plain-Python gains; nothing to learn from is an error."""
+    rng = np.random.default_rng(3)
+    rated = [(u, i, float(rng.choice([1.0, 3.0, 5.0])), int(rng.integers(4))) for u in range(12) for i in range(10)]
+    schema = "user_id long, item_id long, rating double, part int"
+    ratings = spark.createDataFrame(rated, schema)
+    train = ratings.filter("part > 0").drop("part")
+    pairs = ratings.filter("part = 0").selectExpr("user_id * 100 + item_id as pair_id", "user_id", "item_id", "rating as gold")
+    found = lt.ndcg_of_rankers(train, pairs, dims=(2,), ks=(2, 5), max_iter=2, min_iter=2, seed=1).collect()
+    assert {(r.dim, r.ranker, r.k) for r in found} == {(2, m, k) for m in ("pmf", "svm", "logistic") for k in (2, 5)}
+    model = lt.pmf_fit(train, 2, max_iter=2, min_iter=2, seed=1)
+    scored = lt.rank_svm(train, pairs, model.users, model.items).toPandas()
+    for k in (2, 5):
+        gains = []
+        for _, own in scored.groupby("user_id"):
+            def dcg(by):
+                top = own.sort_values([by, "pair_id"], ascending=[False, True])["gold"].to_numpy()[:k]
+                return ((2.0**top - 1.0) / np.log(np.arange(len(top)) + 2.0)).sum()
+
+            gains.append(dcg("score") / dcg("gold"))
+        ndcg = next(r.ndcg for r in found if (r.ranker, r.k) == ("svm", k))
+        assert ndcg == pytest.approx(np.mean(gains))
+    with pytest.raises(ValueError, match="both a highest and a lowest"):
+        lt.ndcg_of_rankers(train.filter("rating > 1"), pairs)
+
+
 def test_ratings_without_both_sides_train_nothing(spark):
     """Users with one side only have no pairs: weights are zero."""
     ratings = spark.createDataFrame([(0, 0, 5.0), (1, 0, 1.0)], "user_id long, item_id long, rating double")
