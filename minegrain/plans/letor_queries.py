@@ -75,10 +75,3 @@ def rank_logistic(spark, sf):
     preferences = lt.preference_count(train)
     scored = lt.rank_logistic(train, inp.pairs(spark, sf), users, items, batch=preferences // 4, epochs=1)
     return scored.withColumn("score", rounded("score", 5))
-
-
-@query("letor_ndcg")
-def letor_ndcg(spark, sf):
-    """NDCG of three rankers over factors of 10 dimensions, fitted with the least number of steps."""
-    gains = lt.ndcg_of_rankers(inp.train(spark, sf), inp.pairs(spark, sf), dims=(10,), max_iter=31, seed=1)
-    return gains.withColumn("ndcg", rounded("ndcg", 4))
