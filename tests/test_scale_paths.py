@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from minegrain.functions import ordering as od
 from minegrain.operators import clusters as cl
+from minegrain.operators import graph
 from minegrain.operators import letor as lt
 from minegrain.operators import linear as ln
 from minegrain.operators import neighbours as nb
@@ -476,3 +477,24 @@ def test_lines_of_many_part_files_stay_in_order(spark, tmp_path):
         (tmp_path / f"part-{i:05d}-x.txt").write_text(f"{i}\n")
     lines = read_lines(spark, str(tmp_path)).orderBy("line_no").collect()
     assert [r.value for r in lines] == ["99999", "100000", "100001"]
+
+
+def test_topic_ranks_are_not_broadcast(spark):
+    """Ranks of every document and topic are far larger than Spark's estimate for them, which is that of the documents."""
+    docs = spark.range(400).withColumnRenamed("id", "doc_id")
+    ranks = docs.withColumn("topic", F.explode(F.array(*[F.lit(t) for t in (3, 5, 9)])))
+    ranks = ranks.select("topic", F.col("doc_id").alias("id"), ((F.col("doc_id") % 7 + F.col("topic")) / 10).alias("rank"))
+    ranks = ranks.filter("id % 5 <> topic")
+    given = [(1, 1, 3, 0.5), (1, 1, 5, 0.25), (1, 1, 4, 0.25), (2, 1, 9, 1.0), (2, 2, 4, 1.0), (3, 1, 3, 0.0)]
+    mix = spark.createDataFrame(given, "user_id bigint, query_id bigint, topic int, prob double")
+    run = mix.select("user_id", "query_id").distinct().crossJoin(docs)
+    mixed = graph.topic_weighted_sum(ranks, mix, run)
+    plan = mixed._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" not in plan and "BroadcastNestedLoopJoin" not in plan
+    want = {}
+    for r in ranks.collect():
+        for user, query, topic, prob in given:
+            if topic == r["topic"] and prob:
+                want[user, query, r["id"]] = want.get((user, query, r["id"]), 0.0) + prob * r["rank"]
+    found = {(r["user_id"], r["query_id"], r["doc_id"]): r["rank"] for r in mixed.collect()}
+    assert found.keys() == want.keys() and all(abs(found[k] - want[k]) < 1e-12 for k in want)
