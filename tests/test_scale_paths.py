@@ -487,7 +487,7 @@ def test_topic_ranks_are_not_broadcast(spark):
     ranks = ranks.filter("id % 5 <> topic")
     given = [(1, 1, 3, 0.5), (1, 1, 5, 0.25), (1, 1, 4, 0.25), (2, 1, 9, 1.0), (2, 2, 4, 1.0), (3, 1, 3, 0.0)]
     mix = spark.createDataFrame(given, "user_id bigint, query_id bigint, topic int, prob double")
-    run = mix.select("user_id", "query_id").distinct().crossJoin(docs)
+    run = mix.select("user_id", "query_id").distinct().withColumn("doc_id", F.explode(F.sequence(F.lit(0), F.lit(399)).cast("array<bigint>")))
     mixed = graph.topic_weighted_sum(ranks, mix, run)
     plan = mixed._jdf.queryExecution().executedPlan().toString()
     assert "BroadcastHashJoin" not in plan and "BroadcastNestedLoopJoin" not in plan
@@ -498,3 +498,18 @@ def test_topic_ranks_are_not_broadcast(spark):
                 want[user, query, r["id"]] = want.get((user, query, r["id"]), 0.0) + prob * r["rank"]
     found = {(r["user_id"], r["query_id"], r["doc_id"]): r["rank"] for r in mixed.collect()}
     assert found.keys() == want.keys() and all(abs(found[k] - want[k]) < 1e-12 for k in want)
+
+
+def test_assignment_takes_only_terms_of_the_documents(spark, monkeypatch):
+    """Centroids over a vocabulary far larger than the documents' are cut to their terms, with lengths over all of them."""
+    docs = spark.createDataFrame([(1, 3, 1.0), (1, 8, 1.0), (2, 8, 2.0), (3, 9999, 1.0)], "doc_id bigint, term_id bigint, weight double")
+    w = F.when((F.col("cluster") == 1) & F.col("term_id").isin(3, 8), 3.0).otherwise(F.when(F.col("cluster") == 0, 1.0).otherwise(0.5))
+    centroids = spark.range(200).withColumnRenamed("id", "term_id").withColumn("cluster", F.explode(F.array(F.lit(0), F.lit(1), F.lit(4))))
+    centroids = centroids.withColumn("w", w)
+    wanted = {(r.doc_id, r.cluster) for r in cl._assign_ranges(cl.pack_documents(docs).checkpoint(), centroids.checkpoint()).collect()}
+    monkeypatch.setattr(cl, "MAX_CENTROID_CELLS", 50)
+    monkeypatch.setattr(cl, "_assign_ranges", None)
+    assert {(r.doc_id, r.cluster) for r in cl.assign_cosine(docs, centroids).collect()} == wanted == {(1, 1), (2, 1), (3, 0)}
+    strangers = docs.withColumn("term_id", F.col("term_id") + 50_000)
+    assert {r.cluster for r in cl.assign_cosine(strangers, centroids).collect()} == {0}
+    assert {(r.doc_id, r.cluster) for r in cl.assign_cosine(docs, centroids.union(centroids)).collect()} == wanted
