@@ -513,3 +513,16 @@ def test_assignment_takes_only_terms_of_the_documents(spark, monkeypatch):
     strangers = docs.withColumn("term_id", F.col("term_id") + 50_000)
     assert {r.cluster for r in cl.assign_cosine(strangers, centroids).collect()} == {0}
     assert {(r.doc_id, r.cluster) for r in cl.assign_cosine(docs, centroids.union(centroids)).collect()} == wanted
+
+
+def test_texts_move_before_they_are_words(spark, tmp_path):
+    """Counts by document take one shuffle, of the texts; none of the far more bytes of documents' words."""
+    from minegrain.plans import inputs as inp
+
+    rows = [(1, "red fox, red hen"), (2, "fox"), (None, "red"), (2, "fox hen"), (3, None)]
+    spark.createDataFrame(rows, "doc_id bigint, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    tf = inp.tf(spark, str(tmp_path))
+    plan = tf._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == 1 and "hashpartitioning(doc_id" in plan and ", term#" not in plan.split("hashpartitioning")[1].split(")")[0]
+    found = sorted((r.doc_id or 0, r.term, r.tf) for r in tf.collect())
+    assert found == [(0, "red", 1), (1, "fox", 1), (1, "hen", 1), (1, "red", 2), (2, "fox", 2), (2, "hen", 1)]
