@@ -526,3 +526,16 @@ def test_texts_move_before_they_are_words(spark, tmp_path):
     assert plan.count("Exchange hashpartitioning") == 1 and "hashpartitioning(doc_id" in plan and ", term#" not in plan.split("hashpartitioning")[1].split(")")[0]
     found = sorted((r.doc_id or 0, r.term, r.tf) for r in tf.collect())
     assert found == [(0, "red", 1), (1, "fox", 1), (1, "hen", 1), (1, "red", 2), (2, "fox", 2), (2, "hen", 1)]
+
+
+def test_sparse_products_are_listed(spark, monkeypatch):
+    """Where the pairs of an inner key are few, they are rows; no tile moves, and the sums are those of the tiles."""
+    rng = np.random.default_rng(5)
+    m = np.where(rng.random((400, 300)) < 0.01, rng.integers(-3, 3, size=(400, 300)), 0).astype(float)
+    with monkeypatch.context() as only:
+        only.setattr(tiles, "_tile_pairs", None)
+        found = {(r.left, r.right): r.value for r in tiled_product(cells(spark, m), block_rows=8).collect()}
+    gram = m @ m.T
+    assert found == {(i, j): gram[i, j] for i in range(400) for j in range(i + 1, 400) if gram[i, j] != 0}
+    monkeypatch.setattr(tiles, "LISTED_ROWS", 1)  # a hot key goes through tiles
+    assert {(r.left, r.right): r.value for r in tiled_product(cells(spark, m), block_rows=8).collect()} == found
