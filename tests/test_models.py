@@ -466,6 +466,39 @@ def test_factors_of_large_ids(spark):
     assert all(h[1] > 0 for h in seen.history)
 
 
+def test_pmf_steps_do_not_multiply_estimates(spark, capsys):
+    """The estimated size of the factors is that of stored files after any number of steps, not a product over all steps."""
+    ratings = _pmf_ratings(spark)
+    for steps in (3, 9):
+        model = fc.pmf_fit(ratings, 2, step=1e-3, max_iter=steps)
+        capsys.readouterr()
+        model.users.explain(mode="cost")
+        shown = capsys.readouterr().out
+        assert "sizeInBytes" in shown and "EiB" not in shown and "E+" not in shown
+
+
+def test_factor_blocks_move_in_proportion(monkeypatch):
+    """On 12 cores, 60 and 360 times sf0.1 (900,000 users at 60) have each factor in some six tiles or less."""
+    for scale in (60, 360):
+        users, items = 15_000 * scale, 20_000 * scale
+        nu, ni = fc.tile_grid(540_000 * scale, users, items, 12, 5)
+        assert users * ni + items * nu <= 6 * (users + items)
+        assert nu * ni >= 12
+
+
+@pytest.mark.parametrize("chunk", [500_000, 7])
+def test_tiles_in_rows_of_bounded_size(spark, monkeypatch, chunk):
+    monkeypatch.setattr(fc, "CHUNK_RATINGS", chunk)
+    ratings, start = _pmf_ratings(spark), [fc.seeded_factors(spark.range(n), 2, 1) for n in (60, 40)]
+    problem = fc._Problem(ratings, *start, 2)
+    assert max(r.n for r in problem.tiles.selectExpr("size(ratings) as n").collect()) <= chunk
+    _, squares = problem.evaluate(problem.pack(*start))
+    u, v = ({r.id: np.array(r.f) for r in side.collect()} for side in start)
+    expected = sum((r.rating - 3 - u[r.user_id] @ v[r.item_id]) ** 2 for r in ratings.collect())
+    assert squares == pytest.approx(expected)
+    problem.close()
+
+
 def test_line_numbers_over_files(spark, tmp_path):
     for n in range(3):
         (tmp_path / f"part-{n}").write_text("".join(f"{n} {i}\n" for i in range(50 * (n + 1))))
