@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import math
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -117,3 +118,31 @@ def test_all_fused_runs_in_one_call(spark, tmp_path):
     read = spark.read.text(str(tmp_path / "runs")).collect()
     assert sorted({r.method for r in read}) == ["CM_a", "CM_b", "NS_a", "NS_b", "WS_a", "WS_b"]
     assert sorted(r.value for r in read if r.method == "NS_a") == ["1-1 Q0 7 2 2000.000000 run-1", "1-1 Q0 8 1 3000.000000 run-1"]
+
+
+def test_walk_over_a_grid_of_links(spark, monkeypatch):
+    """Ranks move as one row for each cell of the grid; links are rows of bounded size, and a hot vertex changes nothing."""
+    monkeypatch.setattr(g, "HOT_DEGREE", 3)
+    monkeypatch.setattr(g, "BLOCK_RANKS", 8)
+    rng = np.random.default_rng(4)
+    pairs = sorted({(int(a), int(b)) for a, b in rng.integers(0, 30, (60, 2)) if a != b} | {(0, i) for i in range(1, 30)})
+    edges = spark.createDataFrame([(a, b, float(1 + (a + b) % 3)) for a, b in pairs], "src long, dst long, weight double")
+    topics = spark.createDataFrame([(i % 3 + 1, i) for i in range(30)], "topic int, doc_id long")
+    m = np.eye(30)
+    for a, b in pairs:
+        m[a, b] += 1 + (a + b) % 3
+    m /= m.sum(axis=1, keepdims=True)
+    found = {(r.topic, r.id): r["rank"] for r in g.topic_sensitive_pagerank(edges, topics, tol=None, min_iter=7).collect()}
+    assert len(found) == 90
+    for t in (1, 2, 3):
+        jump = 0.1 / 30 + 0.1 * np.array([1 / 10 if i % 3 + 1 == t else 0.0 for i in range(30)])
+        r = np.full(30, 1 / 30)
+        for _ in range(7):
+            r = 0.8 * m.T @ r + 0.2 * jump
+        np.testing.assert_allclose([found[t, i] for i in range(30)], r / r.sum(), atol=1e-12)
+    links = g.transition_matrix(edges)
+    teleport = links.selectExpr("src as id").distinct().selectExpr("id", "1.0D as a", "2.0D as b")
+    walk = g._Walk(links, teleport, ["a", "b"], 30)
+    assert walk.teleport.count() <= walk.side == 8 and max(r.n for r in walk.links.selectExpr("size(p) as n").collect()) == 3
+    assert walk.step(walk.teleport, walk.teleport, 2, 0.2).count() <= 8
+    walk.close()
