@@ -539,3 +539,29 @@ def test_sparse_products_are_listed(spark, monkeypatch):
     assert found == {(i, j): gram[i, j] for i in range(400) for j in range(i + 1, 400) if gram[i, j] != 0}
     monkeypatch.setattr(tiles, "LISTED_ROWS", 1)  # a hot key goes through tiles
     assert {(r.left, r.right): r.value for r in tiled_product(cells(spark, m), block_rows=8).collect()} == found
+
+
+def test_parts_of_order_lines_are_not_broadcast(spark, tmp_path, monkeypatch):
+    """Compressed columns of the parts seem far smaller to Spark than their rows are on the driver."""
+    from minegrain.plans import inputs
+
+    part = spark.createDataFrame([(1, "Brand#11"), (2, "Brand#22"), (None, "Brand#33")], "p_partkey bigint, p_brand string")
+    orders = spark.createDataFrame([(7, 70, "1-URGENT"), (8, 80, None)], "o_orderkey bigint, o_custkey bigint, o_orderpriority string")
+    lines = [(7, 1, 1.0), (7, 2, 2.0), (7, 2, 2.0), (8, 1, 3.0), (8, 3, 4.0), (9, 1, 5.0), (7, None, 6.0)]
+    for name, df in (
+        ("part", part.unionByName(part.limit(1))),
+        ("orders", orders),
+        ("lineitem", spark.createDataFrame(lines, "l_orderkey bigint, l_partkey bigint, l_extendedprice double")),
+    ):
+        df.write.parquet(f"{tmp_path}/{name}.parquet")
+    plans = []
+
+    def kept(df):
+        plans.append(df._jdf.queryExecution().executedPlan().toString())
+        return df
+
+    monkeypatch.setattr(inputs, "cut_lineage", kept)
+    found = sorted(map(tuple, inputs.order_lines(spark, str(tmp_path)).collect()), key=str)
+    assert "SortMergeJoin [doc_id" in plans[0] and "BroadcastHashJoin [doc_id" not in plans[0]
+    one, two, unnamed = (1, 1.0, 70, 1, 11), (2, 2.0, 70, 1, 22), (1, 3.0, 80, None, 11)
+    assert found == sorted([one, one, two, two, unnamed, unnamed], key=str)
