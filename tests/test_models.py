@@ -287,6 +287,31 @@ def test_tasks_in_step(spark, data, tasks, batch, n):
     np.testing.assert_allclose(model.weights, ascend_softmax(x, y, model.labels, 0.1, batch, 0.02, 2), atol=1e-12)
 
 
+def test_large_batches_are_passes(spark, data, monkeypatch):
+    """Batches of many cells take the same steps as passes of their own, and no task gets the rows of an epoch in a barrier."""
+    x, y = data[0], data[2]
+    monkeypatch.setattr(sga, "PASS_CELLS", 60 * x.shape[1])
+    monkeypatch.setattr(sga, "BarrierTaskContext", None)
+    model = sga.softmax_sga(rows(spark, x, y), [0.0, 1.0, 2.0], L=0.1, batch=60, eta0=0.02, epochs=3)
+    np.testing.assert_allclose(model.weights, ascend_softmax(x, y, model.labels, 0.1, 60, 0.02, 3), atol=1e-12)
+    two = rows(spark, x, (data[1] > 0).astype(float))
+    curve = [tuple(r) for r in sga.learning_curve(two, two, every=3, batch=70, epochs=4).collect()]
+    monkeypatch.undo()
+    assert curve == [pytest.approx(tuple(r)) for r in sga.learning_curve(two, two, every=3, batch=70, epochs=4).collect()]
+
+
+def test_sparse_rows_count_their_cells(spark, monkeypatch):
+    """Tasks in step wait about a second for each batch: wide rows with few cells are not worth more than one."""
+    worth = []
+    count = sga._task_count
+    monkeypatch.setattr(sga, "_task_count", lambda *a: worth.append(count(*a)) or worth[-1])
+    given = [(i, float(i % 2), [i % 3 + 1, 400_000], [1.0, 0.5]) for i in range(40)] + [(40, 1.0, [], []), (41, 0.0, [], [])]
+    sparse = spark.createDataFrame(given, "row_id bigint, label double, indices array<int>, values array<double>")
+    monkeypatch.setattr(sga, "STEP_CELLS", 500)
+    model = sga.softmax_sga(sparse, [0.0, 1.0], L=0.1, batch=21, epochs=1)
+    assert worth == [1] and model.weights.shape == (2, 400_000)
+
+
 def test_one_job_an_epoch(spark, three):
     """The number of Spark jobs follows the epochs, not the batches."""
 
