@@ -194,6 +194,35 @@ def test_nearest_neighbours_equal_ranked_pairs(spark, monkeypatch, by, kind, til
         assert all(abs(r.sim - wanted[r.row, r.neighbour][0]) < 1e-9 for r in found)
 
 
+@pytest.mark.parametrize("by,kind,cut", [("user", "dot", False), ("item", "cosine", True), ("item", "pcc", False)])
+def test_nearest_rows_hand_over_their_best_only(spark, monkeypatch, by, kind, cut):
+    """Many groups, blocks, lots and chunks: a row leaves its task with its k best, not with the best of every block pair."""
+    from minegrain.operators import nearest
+
+    rng = np.random.default_rng(17)
+    m = np.where(rng.random((50, 40)) < 0.35, rng.integers(1, 6, (50, 40)), 0)
+    ratings = spark.createDataFrame(
+        [(int(u), int(i), float(m[u, i])) for u, i in np.argwhere(m)], "user_id long, item_id long, rating double"
+    )
+    n = 50 if by == "user" else 40
+    pairs = getattr(nb, f"{by}_similarity_{kind}")(ratings)
+    wanted = {(r.row, r.neighbour): (r.place, pytest.approx(r.sim)) for r in nb.topk_neighbours(pairs, n, 35).collect()}
+    for name, size in (("BLOCK_CELLS", 10), ("GROUP_CELLS", 60), ("LOT_CELLS", 40), ("CHUNK_PRODUCTS", 16)):
+        monkeypatch.setattr(nearest, name, size)
+    monkeypatch.setattr(nearest, "CUT_ADVANTAGE", 0 if cut else 10**9)
+    found = nb.nearest_neighbours(ratings, 35, by, kind).collect()
+    assert len(found) == len(wanted) and {(r.row, r.neighbour): (r.place, r.sim) for r in found} == wanted
+
+
+def test_sweep_evidence_of_hot_and_other_keys(spark):
+    """Pairs whose other side has more ratings than k go by their neighbours, all others by the ratings."""
+    ranked = spark.createDataFrame([(1, 2, 0.5, 1), (1, 3, 0.4, 2), (2, 1, 0.5, 1)], "user_id long, neighbour long, sim double, place int")
+    given = spark.createDataFrame([(u, 7, 1.0) for u in (1, 2, 3, 4)] + [(2, 8, 2.0), (4, 8, -1.0)], "neighbour long, item_id long, rating double")
+    pairs = spark.createDataFrame([(10, 1, 7), (11, 1, 8), (12, 2, 8), (13, 2, 7), (14, 5, 9)], "pair_id long, user_id long, item_id long")
+    found = nb._sweep_evidence(pairs, ranked, given, "user_id", "item_id", 3).select("pair_id", "neighbour", "rating", "place")
+    assert sorted(map(tuple, found.collect())) == [(10, 2, 1.0, 1), (10, 3, 1.0, 2), (11, 2, 2.0, 1), (13, 1, 1.0, 1)]
+
+
 def test_joined_assignment_equals_packed(spark):
     rng = np.random.default_rng(2)
     v = np.where(rng.random((80, 30)) < 0.2, rng.normal(size=(80, 30)), 0.0)
