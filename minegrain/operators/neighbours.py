@@ -134,7 +134,7 @@ def nearest_neighbours(ratings: DataFrame, k: int, by: str = "item", kind: str =
 def _shares(neighbours: DataFrame, weighted: bool) -> DataFrame:
     """(row, neighbour, w): each row's weights scaled to absolute sum 1."""
     w = F.col("sim") if weighted else F.lit(1.0)
-    cells = neighbours.select("row", "neighbour", w.alias("w"))
+    cells = cut_lineage(neighbours.select("row", "neighbour", w.alias("w")))  # read twice
     total = cells.groupBy("row").agg(F.sum(F.abs("w")).alias("total"))
     return cells.join(total, "row").select("row", "neighbour", (F.col("w") / F.col("total")).alias("w"))
 

@@ -214,6 +214,20 @@ def test_nearest_rows_hand_over_their_best_only(spark, monkeypatch, by, kind, cu
     assert len(found) == len(wanted) and {(r.row, r.neighbour): (r.place, r.sim) for r in found} == wanted
 
 
+def test_predictions_make_neighbours_once(spark):
+    """Weights and their totals come from stored neighbours."""
+    made = spark.sparkContext.accumulator(0)
+
+    @F.udf("double")
+    def sim(x):
+        made.add(1)
+        return float(x)
+
+    top = spark.createDataFrame([(1, 2, 1), (1, 3, 3), (2, 1, 1)], "row long, neighbour long, x int")
+    shares = nb._shares(top.select("row", "neighbour", sim("x").alias("sim")), True).collect()
+    assert made.value == 3 and sorted(map(tuple, shares)) == [(1, 2, 0.25), (1, 3, 0.75), (2, 1, 1.0)]
+
+
 def test_sweep_evidence_of_hot_and_other_keys(spark):
     """Pairs whose other side has more ratings than k go by their neighbours, all others by the ratings."""
     ranked = spark.createDataFrame([(1, 2, 0.5, 1), (1, 3, 0.4, 2), (2, 1, 0.5, 1)], "user_id long, neighbour long, sim double, place int")
