@@ -490,6 +490,44 @@ def test_factors_of_large_ids(spark):
     assert {r.id for r in seen.items.collect()} == {r.item_id for r in big.collect()}
     assert all(h[1] > 0 for h in seen.history)
 
+@pytest.mark.parametrize("hot", [False, True])
+def test_pmf_in_one_task_and_on_tiles(spark, monkeypatch, hot):
+    """A small fit runs in one task, with the losses and factors of the fit on tiles."""
+    ratings = _pmf_ratings(spark, hot=hot)
+    one = fc.pmf_fit(ratings, 3, step=0.01, max_iter=12, seed=2)
+    monkeypatch.setattr(fc, "ONE_TASK", (0, 0, 0))
+    monkeypatch.setattr(fc, "TILE_RATINGS", (20, 30))
+    monkeypatch.setattr(fc, "CHUNK_RATINGS", 7)
+    tiles = fc.pmf_fit(ratings, 3, step=0.01, max_iter=12, seed=2)
+    assert one.iterations == tiles.iterations == 12 and [h[3] for h in one.history] == [h[3] for h in tiles.history]
+    np.testing.assert_allclose([h[1:3] for h in one.history], [h[1:3] for h in tiles.history])
+    for a, b in ((one.users, tiles.users), (one.items, tiles.items)):
+        a, b = ([r.f for r in x.orderBy("id").collect()] for x in (a, b))
+        np.testing.assert_allclose(a, b, atol=1e-9)
+
+
+def test_pmf_tiles_stream_past_a_chunk(spark, monkeypatch):
+    """Every rating is in one chunk of its tile, none larger than a chunk, at the place of its ids in the tile's blocks."""
+    monkeypatch.setattr(fc, "TILE_RATINGS", (200, 300))
+    monkeypatch.setattr(fc, "CHUNK_RATINGS", 50)
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "17")
+    try:
+        ratings = _pmf_ratings(spark, hot=True)
+        start = [fc.seeded_factors(spark.range(n), 2, 1) for n in (60, 40)]
+        problem = fc._Problem(ratings, *start, 2)
+        point = problem.pack(*start)
+        ids = {(r.side, r.block): r.ids for r in point.blocks.collect()}
+        found, parts = [], {}
+        for t in problem.tiles.collect():
+            assert len(t.ratings) <= 50
+            parts.setdefault(t.tile, []).append(t.part)
+            found += [(ids[0, t.ublock][a], ids[1, t.iblock][b], r + 3) for a, b, r in zip(t.users, t.items, t.ratings)]
+        problem.close()
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    assert sorted(found) == sorted(map(tuple, ratings.collect()))
+    assert all(sorted(p) == list(range(len(p))) for p in parts.values()) and max(map(len, parts.values())) > 1
+
 
 def test_pmf_steps_do_not_multiply_estimates(spark, capsys):
     """The estimated size of the factors is that of stored files after any number of steps, not a product over all steps."""
