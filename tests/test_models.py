@@ -506,6 +506,22 @@ def test_pmf_in_one_task_and_on_tiles(spark, monkeypatch, hot):
         np.testing.assert_allclose(a, b, atol=1e-9)
 
 
+def test_pmf_queries_are_the_whole_job(spark, monkeypatch):
+    """Fits of the queries end by their rule or at 300, and the sweep has all five numbers of factors."""
+    from minegrain.plans import factor_queries as fq
+
+    pairs = spark.createDataFrame([(7, 1, 2, 4.0), (8, 5, 6, 2.0)], "pair_id long, user_id long, item_id long, gold double")
+    monkeypatch.setattr(fq.inp, "train", lambda spark, sf: _pmf_ratings(spark))
+    monkeypatch.setattr(fq.inp, "pairs", lambda spark, sf: pairs)
+    fits, fit = [], fc.pmf_fit
+    monkeypatch.setattr(fc, "pmf_fit", lambda *a, **k: fits.append(fit(*a, **k)) or fits[-1])
+    assert fq.pmf_fit(spark, "").count() == 100
+    rows = fq.pmf_sweep(spark, "").orderBy("dim").collect()
+    assert [r.dim for r in rows] == [2, 5, 10, 20, 50]
+    ends = [(m.converged, m.iterations) for m in fits] + [(r.converged, r.iterations) for r in rows]
+    assert all(converged or n == 300 for converged, n in ends) and ends[0][1] > 31
+
+
 def test_pmf_tiles_stream_past_a_chunk(spark, monkeypatch):
     """Every rating is in one chunk of its tile, none larger than a chunk, at the place of its ids in the tile's blocks."""
     monkeypatch.setattr(fc, "TILE_RATINGS", (200, 300))
