@@ -522,6 +522,13 @@ def test_pmf_queries_are_the_whole_job(spark, monkeypatch):
     assert all(converged or n == 300 for converged, n in ends) and ends[0][1] > 31
 
 
+def test_pmf_refuses_null_ratings(spark):
+    """As on tiles: a null rating ends the fit, which would otherwise give back its start."""
+    ratings = _pmf_ratings(spark).withColumn("rating", F.when(F.col("user_id") != 3, F.col("rating")))
+    with pytest.raises(Exception, match="a rating is null"):
+        fc.pmf_fit(ratings, 2, max_iter=3)
+
+
 def test_pmf_tiles_stream_past_a_chunk(spark, monkeypatch):
     """Every rating is in one chunk of its tile, none larger than a chunk, at the place of its ids in the tile's blocks."""
     monkeypatch.setattr(fc, "TILE_RATINGS", (200, 300))
